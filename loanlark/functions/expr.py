@@ -75,7 +75,7 @@ def row_std(cols: list[str]) -> Column:
     """Sample standard deviation across the non-null columns; null below two values."""
     mean = row_mean(cols)
     squares = reduce(add, [F.coalesce(F.pow(F.col(c) - mean, 2), F.lit(0.0)) for c in cols])
-    return F.sqrt(F.try_divide(squares, row_count(cols) - 1))
+    return F.sqrt(F.when(row_count(cols) > 1, squares / (row_count(cols) - 1)))
 
 
 def row_min(cols: list[str]) -> Column:

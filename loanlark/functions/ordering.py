@@ -35,10 +35,12 @@ def assign_buckets(
 def range_splits(df: DataFrame, cols: list[str], buckets: int) -> list[list[float]]:
     """Open-ended bucket borders at approximate quantiles, one list per column."""
     probabilities = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(cols, probabilities, 1.0 / (4 * buckets))
+    found = df.agg(
+        *[F.percentile_approx(F.col(c), probabilities, 4 * buckets).alias(c) for c in cols]
+    ).first()
     splits = []
-    for borders in found:
-        inner = sorted({b for b in borders if math.isfinite(b)}) or [0.0]
+    for c in cols:
+        inner = sorted({b for b in found[c] or [] if math.isfinite(b)}) or [0.0]
         splits.append([-math.inf, *inner, math.inf])
     return splits
 

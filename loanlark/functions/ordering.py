@@ -58,15 +58,18 @@ def long_values(
     borders = range_splits(base, values, buckets)
     marked = assign_buckets(base, values, borders, [f"b{i}" for i in range(len(cols))])
     cells = [
+        # 0.0 and -0.0 are one value
         F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"b{i}").cast("int").alias("bucket"),
-            # 0.0 and -0.0 are one value
-            (F.col(f"v{i}") + F.lit(0.0)).alias("value"),
-        )
+            F.col(f"b{i}").cast("int").alias("bucket"), (F.col(f"v{i}") + F.lit(0.0)).alias("value")
+        ).alias(c)
         for i, c in enumerate(cols)
     ]
-    return marked.select(*keep, F.inline(F.array(*cells))).filter("value is not null")
+    return (
+        marked.select(*[F.col(k).alias(f"_{k}") for k in keep], *cells)
+        .unpivot([f"_{k}" for k in keep], cols, "feature", "cell")
+        .filter("cell.value is not null")
+        .select(*[F.col(f"_{k}").alias(k) for k in keep], "feature", "cell.bucket", "cell.value")
+    )
 
 
 def running_sums(df: DataFrame, order: str, sums: list[str]) -> DataFrame:
@@ -113,25 +116,33 @@ def class_counts(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     return running_sums(counted, "value", ["n0", "n1", "one"])
 
 
-def values_at_ranks(cells: DataFrame, ranks: Callable[[Column], list[Column]]) -> DataFrame:
-    """(feature, total, position, rank, value) for the 0-based ranks wanted per feature.
+def bucket_ranks(cells: DataFrame) -> DataFrame:
+    """(feature, bucket, first, next, total): the 0-based ranks a bucket covers.
 
-    ``cells`` holds (feature, bucket, value); ``ranks`` maps the row total of a feature to
-    its wanted ranks. Counts per range bucket tell which bucket holds each rank; only the
-    rows of those buckets are shuffled and ordered.
+    ``cells`` holds (feature, bucket, n), n being the number of rows a cell stands for.
     """
-    sizes = cells.groupBy("feature", "bucket").agg(F.count("*").alias("n"))
+    sizes = cells.groupBy("feature", "bucket").agg(F.sum("n").alias("n"))
     feature = Window.partitionBy("feature")
     upto = feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = sizes.select(
+    return sizes.select(
         "feature",
         "bucket",
         (F.sum("n").over(upto) - F.col("n")).alias("first"),
         F.sum("n").over(upto).alias("next"),
         F.sum("n").over(feature).alias("total"),
     )
+
+
+def values_at_ranks(cells: DataFrame, ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """(feature, total, position, rank, value) for the 0-based ranks wanted per feature.
+
+    ``cells`` holds (feature, bucket, value, n); ``ranks`` maps the row total of a feature
+    to its wanted ranks. Only the rows of the buckets that hold a wanted rank are shuffled
+    and ordered.
+    """
     wanted = (
-        bounds.select("*", F.posexplode(F.array(*ranks(F.col("total")))).alias("position", "rank"))
+        bucket_ranks(cells)
+        .select("*", F.posexplode(F.array(*ranks(F.col("total")))).alias("position", "rank"))
         .filter("rank >= first and rank < next")
         .select("feature", "bucket", "first", "total", "position", "rank")
     )
@@ -141,10 +152,11 @@ def values_at_ranks(cells: DataFrame, ranks: Callable[[Column], list[Column]]) -
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # both broadcast sides hold at most features x wanted ranks rows
     ranked = (
         cells.join(F.broadcast(needed), ["feature", "bucket"])
         .groupBy("feature", "bucket", "first", "value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("stop", F.col("first") + F.sum("n").over(inside))
         .select("feature", "bucket", "value", (F.col("stop") - F.col("n")).alias("start"), "stop")
     )
@@ -155,16 +167,21 @@ def values_at_ranks(cells: DataFrame, ranks: Callable[[Column], list[Column]]) -
     )
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
-    """(feature, probability, value): linear interpolation between order statistics."""
+def quantile_ranks(probabilities: list[float]) -> Callable[[Column], list[Column]]:
+    """For each probability the two order statistics it lies between."""
 
     def ranks(total: Column) -> list[Column]:
         heights = [F.lit(float(p)) * (total - 1) for p in probabilities]
         return [side(h) for h in heights for side in (F.floor, F.ceil)]
 
-    found = values_at_ranks(long_values(df, cols), ranks)
+    return ranks
+
+
+def interpolated(found: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(feature, probability, value) from the ranks of ``quantile_ranks``."""
     probability = F.element_at(
-        F.array(*[F.lit(float(p)) for p in probabilities]), F.floor(F.col("position") / 2).cast("int") + 1
+        F.array(*[F.lit(float(p)) for p in probabilities]),
+        F.floor(F.col("position") / 2).cast("int") + 1,
     )
     low = F.max(F.when(F.col("position") % 2 == 0, F.col("value")))
     high = F.max(F.when(F.col("position") % 2 == 1, F.col("value")))
@@ -182,6 +199,75 @@ def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float])
     )
 
 
+def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
+    """(feature, probability, value): linear interpolation between order statistics.
+
+    Bucket sizes tell which value range holds each wanted rank; they reach the driver as
+    one row per column and probability. The final pass keeps only values inside those
+    ranges, by plain comparison in the scan stage, and shuffles no others.
+    """
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "feature string, probability double, value double")
+    base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    values = base.columns
+    splits = range_splits(base, values, bucket_count(spark))
+    marks = [f"b{i}" for i in range(len(cols))]
+    cells = (
+        assign_buckets(base, values, splits, marks)
+        .select(*[F.col(b).cast("int").alias(b) for b in marks])
+        .unpivot([], marks, "feature", "bucket")
+        .filter("bucket is not null")
+        .withColumn("n", F.lit(1).cast("long"))
+    )
+    spans = (
+        bucket_ranks(cells)
+        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+        .withColumn("h", F.col("p") * (F.col("total") - 1))
+        .withColumns({"low": F.floor("h"), "high": F.ceil("h")})
+        .filter("(low >= first and low < next) or (high >= first and high < next)")
+        .groupBy("feature", "p", "h", "low", "high")
+        .agg(F.min("bucket").alias("b0"), F.max("bucket").alias("b1"), F.min("first").alias("first"))
+        .collect()
+    )
+    schema = "slot string, feature string, probability double, h double, low long, high long, first long"
+    slots, kept = [], []
+    for j, r in enumerate(spans):
+        i = int(r["feature"][1:])
+        v, start, stop = F.col(f"v{i}"), splits[i][r["b0"]], splits[i][r["b1"] + 1]
+        kept.append(F.when((v >= F.lit(start)) & (v < F.lit(stop)), v + F.lit(0.0)).alias(f"s{j}"))
+        slots.append((f"s{j}", cols[i], r["p"], r["h"], r["low"], r["high"], r["first"]))
+    wanted = spark.createDataFrame(slots, schema)
+    if not slots:
+        return wanted.select("feature", "probability", F.col("h").alias("value"))
+    inside = (
+        Window.partitionBy("slot")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    counted = (
+        base.select(*kept)
+        .unpivot([], [s[0] for s in slots], "slot", "value")
+        .filter("value is not null")
+        .groupBy("slot", "value")
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(inside))
+    )
+    # one row per column and probability
+    placed = counted.join(F.broadcast(wanted), "slot").withColumns(
+        {"start": F.col("first") + F.col("upto") - F.col("n"), "stop": F.col("first") + F.col("upto")}
+    )
+    low = F.max(F.when(F.expr("low >= start and low < stop"), F.col("value")))
+    high = F.max(F.when(F.expr("high >= start and high < stop"), F.col("value")))
+    return placed.groupBy("feature", "probability", "h").agg(
+        low.alias("a"), high.alias("b")
+    ).select(
+        "feature",
+        "probability",
+        (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("value"),
+    )
+
+
 def hash_bucket(key: Column, bits: int = 10) -> Column:
     """Equal-width range bucket of a 64-bit hash (uniform, so no quantiles are needed)."""
     return F.shiftright(key, 64 - bits).cast("int")

@@ -35,8 +35,8 @@ class EncodingState:
         return cls(spark.read.parquet(f"{path}/codes"), spark.read.parquet(f"{path}/medians"))
 
 
-def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, value, code): code = rank of the value among the sorted distinct values.
+def code_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, bucket, value, n, code): code = rank among the sorted distinct values.
 
     Distinct values are cut into ranges at a bottom-k sample by hash (at most ``buckets``
     strings per column), so that even a column of unbounded cardinality is ranked by many
@@ -45,8 +45,8 @@ def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     buckets = O.bucket_count(df.sparkSession)
     values = (
         shaping.long_text(df, cols)
-        .select("feature", F.coalesce("value", F.lit(NULL_CLASS)).alias("value"))
-        .distinct()
+        .groupBy("feature", F.coalesce("value", F.lit(NULL_CLASS)).alias("value"))
+        .agg(F.count("*").alias("n"))
     )
     by_hash = Window.partitionBy("feature").orderBy(F.xxhash64("value"), "value")
     borders = (
@@ -59,24 +59,39 @@ def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     marked = values.join(F.broadcast(borders), "feature").select(
         "feature",
         "value",
+        "n",
         F.size(F.filter("borders", lambda b: b <= F.col("value"))).alias("bucket"),
         F.lit(1).cast("long").alias("one"),
     )
     return O.running_sums(marked, "value", ["one"]).select(
-        "feature", "value", (F.col("run_one") - 1).alias("code")
+        "feature", "bucket", "value", "n", (F.col("run_one") - 1).alias("code")
     )
 
 
+def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, value, code) of every distinct value of the text columns."""
+    return code_table(df, cols).select("feature", "value", "code")
+
+
 def fit_encoding(df: DataFrame, text: list[str] | None = None) -> EncodingState:
-    """Codes of the text columns, then medians of every numeric column, codes included."""
+    """Codes of the text columns, then medians of every numeric column, codes included.
+
+    The median of a code column comes from the value counts; the rows are not encoded.
+    """
     text = shaping.text_columns(df) if text is None else text
-    spark = df.sparkSession
-    if text:
-        codes = label_codes(df, text)
-    else:
-        codes = spark.createDataFrame([], "feature string, value string, code long")
-    encoded = encode(df, codes, text)
-    return EncodingState(codes, median_fit(encoded, shaping.numeric_columns(encoded)))
+    medians = median_fit(df, shaping.numeric_columns(df))
+    if not text:
+        empty = df.sparkSession.createDataFrame([], "feature string, value string, code long")
+        return EncodingState(empty, medians)
+    table = code_table(df, text)
+    ranks = O.values_at_ranks(
+        table.select("feature", "bucket", F.col("code").cast("double").alias("value"), "n"),
+        O.quantile_ranks([0.5]),
+    )
+    of_codes = O.interpolated(ranks, [0.5]).select("feature", "value")
+    return EncodingState(
+        table.select("feature", "value", "code"), medians.unionByName(of_codes)
+    )
 
 
 def median_fit(df: DataFrame, cols: list[str]) -> DataFrame:

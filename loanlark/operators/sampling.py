@@ -26,6 +26,7 @@ def _cut_keys(df: DataFrame, label: str, key: Column, ranks) -> dict[str, list[i
         F.col(label).cast("string").alias("feature"),
         O.hash_bucket(key).alias("bucket"),
         key.alias("value"),
+        F.lit(1).cast("long").alias("n"),
     )
     found: dict[str, dict[int, int]] = {}
     for r in O.values_at_ranks(cells, ranks).collect():

@@ -28,16 +28,12 @@ def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 def null_fractions(df: DataFrame) -> DataFrame:
     """(column_name, null_fraction): one pass, one row of counts, then one row per column."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
+    )
+    return counts.unpivot(["_rows"], df.columns, "column_name", "filled").select(
+        "column_name",
+        F.try_divide(F.col("_rows") - F.col("filled"), F.col("_rows")).alias("null_fraction"),
     )
-    cells = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.try_divide(F.col("rows") - F.col(f"`{c}`"), F.col("rows")).alias("null_fraction"),
-        )
-        for c in df.columns
-    ]
-    return counts.select(F.inline(F.array(*cells)))
 
 
 def drop_sparse_columns(df: DataFrame, limit: float = S.NULL_FRACTION_LIMIT) -> DataFrame:
@@ -95,10 +91,13 @@ def dataset_summary(df: DataFrame, target: str = S.TARGET, ids: tuple = (S.ID,))
 
 def long_text(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """(keep.., feature, value): one row per cell, values as strings."""
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
-    ]
-    return df.select(*(keep or []), F.inline(F.array(*cells)))
+    keep = keep or []
+    texts = [F.col(c).cast("string").alias(c) for c in cols]
+    return (
+        df.select(*[F.col(k).alias(f"_{k}") for k in keep], *texts)
+        .unpivot([f"_{k}" for k in keep], cols, "feature", "value")
+        .select(*[F.col(f"_{k}").alias(k) for k in keep], "feature", "value")
+    )
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -118,19 +117,12 @@ def distinct_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     column as two cells, not once per column at full width.
     """
     cols = cols or df.columns
-    named = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name")) for c in cols]))
-    seen = (
+    # a null cell keeps an all-null column in the result and counts as no value
+    return (
         long_text(df, cols)
-        .filter("value is not null")
         .distinct()
-        .groupBy("feature")
-        .agg(F.count("*").alias("n"))
-    )
-    return (
-        df.sparkSession.range(1)
-        .select(named)
-        .join(seen, F.col("column_name") == F.col("feature"), "left")
-        .select("column_name", F.coalesce("n", F.lit(0)).alias("n_distinct"))
+        .groupBy(F.col("feature").alias("column_name"))
+        .agg(F.count("value").alias("n_distinct"))
     )
 
 

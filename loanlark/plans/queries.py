@@ -28,7 +28,7 @@ from loanlark.operators import (
 from loanlark.operators.application import EXTERNAL, application_features, flag_counts
 from loanlark.plans import standins as D
 from loanlark.plans import training
-from loanlark.session import scratch_path
+from loanlark.session import scratch_path, through_storage
 from loanlark.sources import sinks, tables
 from loanlark.streaming import scorer
 
@@ -112,7 +112,7 @@ def report_json(spark, sf_dir):
 @query
 def state_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "state")
-    rows = D.applications(spark, sf_dir)
+    rows = _stored_apps(spark, sf_dir)
     encoding.fit_encoding(rows.drop(S.ID, S.TARGET)).save(path)
     state = encoding.EncodingState.load(spark, path)
     return tidy(encoding.apply_encoding(rows, state, (S.ID, S.TARGET)))
@@ -138,6 +138,11 @@ def _apps(spark, sf_dir):
     return D.applications(spark, sf_dir)
 
 
+def _stored_apps(spark, sf_dir):
+    """For operators that pass over their input several times."""
+    return through_storage(_apps(spark, sf_dir), "applications")
+
+
 @query
 def ratio_features(spark, sf_dir):
     from loanlark.operators.application import ratios
@@ -380,7 +385,7 @@ def _wide(spark, sf_dir):
 
 @query
 def wide_features(spark, sf_dir):
-    return tidy(shaping.drop_sparse_columns(_wide(spark, sf_dir)))
+    return tidy(shaping.drop_sparse_columns(through_storage(_wide(spark, sf_dir), "wide")))
 
 
 # --- shaping -----------------------------------------------------------------------------
@@ -461,13 +466,13 @@ def label_encode_apply(spark, sf_dir):
 
 @query
 def median_fit(spark, sf_dir):
-    apps = _apps(spark, sf_dir).drop(S.ID, S.TARGET)
+    apps = _stored_apps(spark, sf_dir).drop(S.ID, S.TARGET)
     return tidy(encoding.fit_encoding(apps).medians)
 
 
 @query
 def encode_impute(spark, sf_dir):
-    apps = _apps(spark, sf_dir)
+    apps = _stored_apps(spark, sf_dir)
     state = encoding.fit_encoding(apps.drop(S.ID, S.TARGET))
     return tidy(encoding.apply_encoding(apps, state, (S.ID, S.TARGET)))
 
@@ -476,7 +481,7 @@ def encode_impute(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    return application_features(_apps(spark, sf_dir))
+    return application_features(_stored_apps(spark, sf_dir))
 
 
 @query
@@ -492,7 +497,7 @@ def ks_test_documents(spark, sf_dir):
 
 @query
 def chi2_test(spark, sf_dir):
-    return tidy(hypothesis.chi2_tests(_apps(spark, sf_dir)))
+    return tidy(hypothesis.chi2_tests(_stored_apps(spark, sf_dir)))
 
 
 @query
@@ -611,13 +616,13 @@ def score_histogram(spark, sf_dir):
 
 @query
 def stratified_split(spark, sf_dir):
-    split = sampling.stratified_split(_apps(spark, sf_dir), S.TARGET, S.ID)
+    split = sampling.stratified_split(_stored_apps(spark, sf_dir), S.TARGET, S.ID)
     return tidy(split.groupBy("split", S.TARGET).agg(F.count("*").alias("n")))
 
 
 @query
 def stratified_folds(spark, sf_dir):
-    folds = sampling.stratified_folds(_apps(spark, sf_dir), S.TARGET, S.ID)
+    folds = sampling.stratified_folds(_stored_apps(spark, sf_dir), S.TARGET, S.ID)
     return tidy(folds.groupBy("fold", S.TARGET).agg(F.count("*").alias("n")))
 
 
@@ -655,7 +660,7 @@ def gbt_fit_score(spark, sf_dir):
 
 @query
 def cv_search(spark, sf_dir):
-    apps = _apps(spark, sf_dir)
+    apps = _stored_apps(spark, sf_dir)
     rows = learner.as_array(apps.na.fill(0.0), [*EXTERNAL, "AMT_CREDIT", "DAYS_BIRTH"])
     small = {"n_estimators": (2, 4, False), "learning_rate": (0.05, 0.3, True),
              "max_depth": (2, 3, False), "min_child_samples": (10, 100, False)}

@@ -99,20 +99,21 @@ def running_sums(df: DataFrame, order: str, sums: list[str]) -> DataFrame:
     )
 
 
-def class_counts(df: DataFrame, cols: list[str], label: str) -> DataFrame:
-    """Distinct values per column with class counts and their running sums.
-
-    Columns: feature, bucket, value, n0, n1, one, run_*, all_* (ascending by value).
-    """
-    counted = (
+def counted_values(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+    """(feature, bucket, value, n0, n1): distinct values per column with class counts."""
+    return (
         long_values(df.filter(F.col(label).isin(0, 1)), cols, [label])
         .groupBy("feature", "bucket", "value")
         .agg(
             F.count_if(F.col(label) == 0).alias("n0"),
             F.count_if(F.col(label) == 1).alias("n1"),
         )
-        .withColumn("one", F.lit(1).cast("long"))
     )
+
+
+def class_counts(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+    """``counted_values`` with running sums: run_* and all_* of n0, n1 and one."""
+    counted = counted_values(df, cols, label).withColumn("one", F.lit(1).cast("long"))
     return running_sums(counted, "value", ["n0", "n1", "one"])
 
 

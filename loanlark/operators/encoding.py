@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanlark.functions import ordering as O
+from loanlark.functions.skew import salted_lookup
 from loanlark.operators import shaping
 
 NULL_CLASS = "nan"
 BROADCAST_CODES = 100_000
-SALTS = 16
 
 
 @dataclass
@@ -103,7 +103,7 @@ def encode(df: DataFrame, codes: DataFrame, text: list[str]) -> DataFrame:
     """Replace text columns by codes; an unseen value, or a column never fitted, gives 0.
 
     A dictionary is broadcast only when its counted size allows it. A larger one is
-    joined by shuffle with the rows of each value spread over ``SALTS`` keys.
+    joined by shuffle with the rows of each value spread over several keys.
     """
     if not text:
         return df
@@ -117,16 +117,11 @@ def encode(df: DataFrame, codes: DataFrame, text: list[str]) -> DataFrame:
         entry = codes.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code")
         )
-        value = F.coalesce(F.col(c), F.lit(NULL_CLASS))
+        out = out.withColumn("_value", F.coalesce(F.col(c), F.lit(NULL_CLASS)))
         if sizes[c] <= BROADCAST_CODES:
-            out = out.join(F.broadcast(entry), value == F.col("_value"), "left")
+            out = out.join(F.broadcast(entry), "_value", "left")
         else:
-            salts = F.array(*[F.lit(i) for i in range(SALTS)])
-            out = out.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
-            entry = entry.withColumn("_part", F.explode(salts))
-            out = out.join(
-                entry, (value == F.col("_value")) & (F.col("_salt") == F.col("_part")), "left"
-            ).drop("_salt", "_part")
+            out = salted_lookup(out, entry, ["_value"], order, "left")
         out = out.withColumn(c, F.coalesce("_code", F.lit(0)).cast("double")).drop(
             "_value", "_code"
         )

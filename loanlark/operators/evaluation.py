@@ -104,48 +104,91 @@ def _thinned(position: Column, length: Column, points: int) -> Column:
     return F.coalesce(*hits)
 
 
-def _neighbour_below(table: DataFrame, cols: list[str]) -> DataFrame:
-    """Add ``below_x``: the value of the next lower score, across bucket borders."""
-    row = F.struct(*cols)
+def _bends(counts: DataFrame) -> DataFrame:
+    """Distinct scores with ``keep`` and the running numbers the ROC curve needs.
+
+    Walking up the scores, a score bends the curve when the score below it adds other
+    class counts; the lowest and highest always stay. Inside a range bucket that is a lag;
+    across the borders it takes the last row of the bucket below. One summary row per
+    bucket carries borders and running numbers, so the rows are ordered once.
+    """
     inside = Window.partitionBy("feature", "bucket").orderBy("value")
-    across = Window.partitionBy("feature").orderBy("bucket")
-    edges = (
-        table.groupBy("feature", "bucket")
-        .agg(F.max_by(row, "value").alias("edge"))
-        .select("feature", "bucket", F.lag("edge").over(across).alias("edge"))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = F.struct("n0", "n1")
+    local = counts.withColumn("below", F.lag(row).over(inside)).withColumn(
+        "bend", F.coalesce((F.col("below") != row).cast("long"), F.lit(0).cast("long"))
     )
-    # one row per bucket
-    return (
-        table.withColumn("_below", F.lag(row).over(inside))
-        .join(F.broadcast(edges), ["feature", "bucket"])
-        .withColumn("_below", F.coalesce("_below", "edge"))
-        .select("*", *[F.col(f"_below.{c}").alias(f"below_{c}") for c in cols])
-        .drop("_below", "edge")
+    local = local.select(
+        "*",
+        F.sum("n0").over(upto).alias("in_n0"),
+        F.sum("n1").over(upto).alias("in_n1"),
+        F.sum("bend").over(upto).alias("in_bend"),
+    )
+    buckets = local.groupBy("feature", "bucket").agg(
+        F.sum("n0").alias("b0"),
+        F.sum("n1").alias("b1"),
+        F.sum("bend").alias("bends"),
+        F.min_by(row, "value").alias("head"),
+        F.max_by(row, "value").alias("last"),
+        F.max("value").alias("top"),
+        F.max_by("bend", "value").alias("top_bend"),
+        F.count("*").alias("rows"),
+    )
+    curve = Window.partitionBy("feature")
+    order = curve.orderBy("bucket")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    linked = buckets.withColumn("edge", F.lag("last").over(order)).withColumn(
+        # the first row of the lowest bucket has no row below and stays
+        "head_bend", F.coalesce((F.col("edge") != F.col("head")).cast("long"), F.lit(1).cast("long"))
+    )
+    # 1 when the very highest score does not bend and stays as the end point only
+    straight = F.when(F.col("rows") == 1, 1 - F.col("head_bend")).otherwise(1 - F.col("top_bend"))
+    none = F.lit(0).cast("long")
+    summary = linked.select(
+        "feature",
+        "bucket",
+        "head_bend",
+        F.coalesce(F.sum("b0").over(before), none).alias("before_n0"),
+        F.coalesce(F.sum("b1").over(before), none).alias("before_n1"),
+        F.coalesce(F.sum(F.col("bends") + F.col("head_bend")).over(before), none).alias("before_bend"),
+        F.sum("b0").over(curve).alias("all_n0"),
+        F.sum("b1").over(curve).alias("all_n1"),
+        F.sum(F.col("bends") + F.col("head_bend")).over(curve).alias("all_bend"),
+        F.max("top").over(curve).alias("top"),
+        F.max_by(straight, "bucket").over(curve).alias("end_only"),
+    )
+    is_top = F.col("value") == F.col("top")
+    is_head = F.col("below").isNull()
+    bent = F.when(is_head, F.col("head_bend")).otherwise(F.col("bend"))
+    # one summary row per bucket
+    return local.join(F.broadcast(summary), ["feature", "bucket"]).select(
+        "value",
+        (F.col("all_n1") - F.col("before_n1") - F.col("in_n1") + F.col("n1")).alias("tp"),
+        (F.col("all_n0") - F.col("before_n0") - F.col("in_n0") + F.col("n0")).alias("fp"),
+        "all_n0",
+        "all_n1",
+        ((bent == 1) | is_top).alias("keep"),
+        (
+            F.col("before_bend")
+            + F.col("head_bend")
+            + F.col("in_bend")
+            + F.when(is_top, F.col("end_only")).otherwise(0)
+        ).alias("run_kept"),
+        (F.col("all_bend") + F.col("end_only")).alias("all_kept"),
     )
 
 
 def roc_curve(df: DataFrame, score: str, label: str, points: int = S.CURVE_POINTS) -> DataFrame:
-    """(idx, fpr, tpr) by falling threshold from (0, 0), collinear points left out.
-
-    A point lies on the line through its neighbours when the next score down adds the
-    same class counts; the first and last scores always stay.
-    """
-    table = _neighbour_below(score_table(df, score, label), ["n0", "n1"])
-    top = F.col("run_one") == F.col("all_one")
-    bottom = F.col("run_one") == 1
-    bend = (F.col("below_n0") != F.col("n0")) | (F.col("below_n1") != F.col("n1"))
-    kept = table.filter(top | bottom | bend).select(
-        "feature", "bucket", "value", "tp", "fp", "all_n0", "all_n1", F.lit(1).alias("kept")
-    )
-    ranked = O.running_sums(kept, "value", ["kept"])
+    """(idx, fpr, tpr) by falling threshold from (0, 0), collinear points left out."""
+    kept = _bends(O.counted_values(df, [score], label)).filter("keep")
     length = F.col("all_kept") + 1
-    # the bottom row also stands for the start of the curve
+    # the lowest score also stands for the start of the curve
     position = F.explode(
         F.when(
             F.col("run_kept") == 1, F.array(length - 1, F.lit(0).cast("long"))
         ).otherwise(F.array(length - F.col("run_kept")))
     )
-    placed = ranked.select("*", position.alias("position")).withColumn(
+    placed = kept.select("*", position.alias("position")).withColumn(
         "idx", _thinned(F.col("position"), length, points)
     )
     start = F.col("position") == 0

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlark.functions.skew import salted_lookup
+
 MAX_PIVOTS = 128
 ROWS_PER_PIVOT = 2_000
 BLOCK_ROWS = 4_096
@@ -38,11 +40,8 @@ def _distances_to(pivots: np.ndarray):
     return distances
 
 
-def _with_cell(df: DataFrame, key: str, vector: str, pivots: np.ndarray) -> DataFrame:
-    far = df.select(
-        F.col(key).cast("long").alias("id"),
-        F.col(vector).cast("array<double>").alias("vec"),
-    ).withColumn("far", _distances_to(pivots)("vec"))
+def _with_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+    far = df.withColumn("far", _distances_to(pivots)("vec"))
     nearest = F.array_min("far")
     return far.withColumns(
         {"near": nearest, "cell": (F.array_position("far", nearest) - 1).cast("int")}
@@ -63,12 +62,11 @@ def _block_nearest(k: int):
             qs, qids = _matrix(part["vec"]), part["id"].to_numpy(np.int64)
             qnorms = (qs**2).sum(axis=1)
             rough = qnorms[:, None] + norms[None, :] - 2.0 * (qs @ points.T)
-            rough[qids[:, None] == ids[None, :]] = np.inf
             keep = min(k, len(ids)) - 1
             # the product form rounds; whatever could still be among the k is measured exactly
             limit = np.partition(rough, keep, axis=1)[:, keep] + 1e-9 * (qnorms + norms.max())
             for i, qid in enumerate(qids):
-                picked = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
+                picked = np.flatnonzero(rough[i] <= limit[i])
                 exact = np.sqrt(((points[picked] - qs[i]) ** 2).sum(axis=1))
                 best = np.lexsort((ids[picked], exact))[:k]
                 out.append(
@@ -84,7 +82,7 @@ def _block_nearest(k: int):
 def _cell_bounds(queries: DataFrame, candidates: DataFrame, pivots: np.ndarray, k: int) -> dict:
     """Per query cell: (rows, largest candidate-to-pivot distance that can still matter).
 
-    Reads back one row per query cell and k + 1 distances per candidate cell.
+    Reads back one row per query cell and k distances per candidate cell.
     """
     radius = {
         r["cell"]: (r["n"], r["u"])
@@ -96,15 +94,14 @@ def _cell_bounds(queries: DataFrame, candidates: DataFrame, pivots: np.ndarray,
     closest = (
         candidates.select("cell", "near")
         .withColumn("rn", F.row_number().over(inner))
-        .filter(F.col("rn") <= k + 1)
+        .filter(F.col("rn") <= k)
         .collect()
     )
     between = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
     bounds = {}
     for cell, (n, u) in radius.items():
         reach = sorted(between[cell, r["cell"]] + u + r["near"] for r in closest)
-        # k + 1, as one of them may be the query itself
-        theta = reach[k] if len(reach) > k else math.inf
+        theta = reach[k - 1] if len(reach) >= k else math.inf
         bounds[cell] = (n, (u + theta) * (1 + 1e-9) + 1e-9)
     return bounds
 
@@ -112,14 +109,48 @@ def _cell_bounds(queries: DataFrame, candidates: DataFrame, pivots: np.ndarray,
 def nearest_neighbours(
     queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int
 ) -> DataFrame:
-    """(id, rank, neighbour, distance): the k nearest other rows, ties by id."""
+    """(id, rank, neighbour, distance): the k nearest other rows, ties by id.
+
+    Copies of a vector are looked up once. Of the copies among the candidates only the
+    k + 1 smallest ids can be neighbours, since ties go by id, so the rest stays behind.
+    """
+    asked = _pairs_of(queries, key, vector)
+    copies = Window.partitionBy("vec").orderBy("id")
+    offered = (
+        _pairs_of(candidates, key, vector)
+        .withColumn("copy", F.row_number().over(copies))
+        .filter(F.col("copy") <= k + 1)
+        .drop("copy")
+    )
+    distinct = asked.groupBy("vec").agg(F.min("id").alias("id"))
+    found = (
+        # one more than wanted, as one of them may be the row itself
+        _nearest_to_vectors(distinct, offered, k + 1)
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("distance", "neighbour"))).alias("near"))
+    )
+    by_vector = distinct.join(found, "id").select("vec", "near")
+    others = F.slice(F.filter("near", lambda x: x["neighbour"] != F.col("id")), 1, k)
+    return (
+        salted_lookup(asked, by_vector, ["vec"], ["id"])
+        .select("id", F.posexplode(others).alias("place", "x"))
+        .select("id", (F.col("place") + 1).alias("rank"), "x.neighbour", "x.distance")
+    )
+
+
+def _pairs_of(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.select(
+        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")
+    )
+
+
+def _nearest_to_vectors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(id, neighbour, distance): for each query the k nearest candidates, itself included."""
     size = candidates.count()
     n_pivots = max(1, min(MAX_PIVOTS, size // ROWS_PER_PIVOT))
-    by_hash = F.xxhash64(F.col(key).cast("long"))
-    chosen = candidates.orderBy(by_hash).limit(n_pivots).select(vector).collect()
+    chosen = candidates.orderBy(F.xxhash64("id")).limit(n_pivots).select("vec").collect()
     pivots = np.array([r[0] for r in chosen], dtype=np.float64)
-    left = _with_cell(queries, key, vector, pivots)
-    right = _with_cell(candidates, key, vector, pivots)
+    left, right = _with_cell(queries, pivots), _with_cell(candidates, pivots)
     bounds = _cell_bounds(left, right, pivots, k)
     reach = F.array(
         *[
@@ -159,7 +190,5 @@ def nearest_neighbours(
     )
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
     return (
-        pairs.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("id", "rank", "neighbour", "distance")
+        pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanlark import settings as S
 from loanlark.functions import ordering as O
 from loanlark.functions.expr import hashed_uniform
+from loanlark.functions.skew import salted_lookup
 from loanlark.operators import sampling
 from loanlark.operators.neighbours import nearest_neighbours
 
@@ -28,13 +29,16 @@ def rows_to_make(majority: int, minority: int, ratio: float) -> int:
 
 
 def _interpolated(picks: DataFrame, minority: DataFrame) -> DataFrame:
-    """(draw.., parent, neighbour, step, vector) from picks of (parent, neighbour, step)."""
+    """(draw.., parent, neighbour, step, vector) from picks of (parent, neighbour, step).
+
+    A row can be the neighbour of most others, so that side of the join is salted.
+    """
     parents = minority.select(F.col("id").alias("parent"), F.col("vec").alias("a"))
     others = minority.select(F.col("id").alias("neighbour"), F.col("vec").alias("b"))
     moved = F.zip_with("a", "b", lambda a, b: a + F.col("step") * (b - a))
-    return (
-        picks.join(parents, "parent").join(others, "neighbour").withColumn("vector", moved).drop("a", "b")
-    )
+    with_parent = salted_lookup(picks, parents, ["parent"], ["draw"])
+    both = salted_lookup(with_parent, others, ["neighbour"], ["parent", "draw"])
+    return both.withColumn("vector", moved).drop("a", "b")
 
 
 def _minority(df: DataFrame, label: str, key: str, vector: str) -> DataFrame:
@@ -105,7 +109,7 @@ def adasyn_weights(
     near = nearest_neighbours(rows.filter("y = 1"), rows, "id", "vec", k)
     classes = rows.select(F.col("id").alias("neighbour"), "y")
     return (
-        near.join(classes, "neighbour")
+        salted_lookup(near, classes, ["neighbour"], ["id"])
         .groupBy("id")
         .agg(F.avg((F.col("y") == 0).cast("double")).alias("majority_share"))
     )
@@ -148,8 +152,10 @@ def adasyn(
         draws.withColumns(
             {"rank": (F.floor(uniform(1) * k) + 1).cast("int"), "step": uniform(2)}
         )
-        .join(near.select(F.col("id").alias("parent"), "rank", "neighbour"), ["parent", "rank"])
-        .select("draw", "parent", "neighbour", "step")
+    )
+    links = near.select(F.col("id").alias("parent"), "rank", "neighbour")
+    picks = salted_lookup(picks, links, ["parent", "rank"], ["draw"]).select(
+        "draw", "parent", "neighbour", "step"
     )
     return _interpolated(picks, minority)
 

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ def stage_features(spark: SparkSession, raw: str, work: str) -> None:
         data["test"].withColumn(PART, F.lit("test")), allowMissingColumns=True
     )
     wide = history.widen(application_features(both), history.history_summaries(data))
-    sinks.write_parquet(wide.repartition(PART, S.ID), f"{work}/wide")
+    wide.write.mode("overwrite").partitionBy(PART).parquet(f"{work}/wide")
     wide = spark.read.parquet(f"{work}/wide")
     train_rows = shaping.drop_sparse_columns(wide.filter(F.col(PART) == "train").drop(PART))
     inputs = train_rows.drop(S.ID, S.TARGET)
@@ -67,7 +68,7 @@ def stage_features(spark: SparkSession, raw: str, work: str) -> None:
 
 def feature_schema(spark: SparkSession, work: str) -> T.StructType:
     row = spark.read.schema("features string").json(f"{work}/feature_fields").first()
-    return T.StructType.fromJson(__import__("json").loads(row["features"]))
+    return T.StructType.fromJson(json.loads(row["features"]))
 
 
 def stage_stats(spark: SparkSession, work: str) -> None:

@@ -59,8 +59,9 @@ def test_neighbours_are_exact(frame, points, monkeypatch, pivot_rows, block):
 def test_pivots_prune_candidates(frame, points, monkeypatch):
     monkeypatch.setattr(neighbours, "ROWS_PER_PIVOT", 20)
     pivots = np.array([points[i][2] for i in range(6)])
-    left = neighbours._with_cell(frame.filter("y = 1"), "id", "v", pivots)
-    right = neighbours._with_cell(frame, "id", "v", pivots)
+    rows = neighbours._pairs_of(frame, "id", "v")
+    left = neighbours._with_cell(neighbours._pairs_of(frame.filter("y = 1"), "id", "v"), pivots)
+    right = neighbours._with_cell(rows, pivots)
     bounds = neighbours._cell_bounds(left, right, pivots, 5)
     far = [r["far"] for r in right.collect()]
     sent = sum(f[c] <= limit for f in far for c, (_, limit) in bounds.items())

@@ -20,7 +20,8 @@ MAX_BUCKETS = 1024
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return max(8, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """Several buckets per shuffle partition, so that hashing them leaves no task empty."""
+    return max(32, min(MAX_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def assign_buckets(
@@ -57,18 +58,22 @@ def long_values(
     values = [f"v{i}" for i in range(len(cols))]
     borders = range_splits(base, values, buckets)
     marked = assign_buckets(base, values, borders, [f"b{i}" for i in range(len(cols))])
+    # kept columns travel inside the cell: passed through as identifiers they would give the
+    # two sides of a self-join different plans, and the shuffle would not be shared
     cells = [
-        # 0.0 and -0.0 are one value
         F.struct(
-            F.col(f"b{i}").cast("int").alias("bucket"), (F.col(f"v{i}") + F.lit(0.0)).alias("value")
+            F.col(f"b{i}").cast("int").alias("bucket"),
+            # 0.0 and -0.0 are one value
+            (F.col(f"v{i}") + F.lit(0.0)).alias("value"),
+            *keep,
         ).alias(c)
         for i, c in enumerate(cols)
     ]
     return (
-        marked.select(*[F.col(k).alias(f"_{k}") for k in keep], *cells)
-        .unpivot([f"_{k}" for k in keep], cols, "feature", "cell")
-        .filter("cell.value is not null")
-        .select(*[F.col(f"_{k}").alias(k) for k in keep], "feature", "cell.bucket", "cell.value")
+        marked.select(*cells)
+        .unpivot([], cols, "feature", "cell")
+        .filter("cell.value is not null and cell.bucket is not null")
+        .select(*[F.col(f"cell.{k}").alias(k) for k in keep], "feature", "cell.bucket", "cell.value")
     )
 
 
@@ -77,6 +82,9 @@ def running_sums(df: DataFrame, order: str, sums: list[str]) -> DataFrame:
 
     ``df`` holds one row per (feature, bucket, order value).
     """
+    # the join adds these filters to one of its sides; stated here, both sides stay equal
+    # and share one shuffle
+    df = df.filter("feature is not null and bucket is not null")
     per_bucket = df.groupBy("feature", "bucket").agg(*[F.sum(s).alias(s) for s in sums])
     feature = Window.partitionBy("feature")
     before = feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

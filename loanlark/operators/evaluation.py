@@ -104,6 +104,26 @@ def _thinned(position: Column, length: Column, points: int) -> Column:
     return F.coalesce(*hits)
 
 
+def _picked(
+    rows: DataFrame, own: Column, twice: Column, extra: Column, length: Column, points: int
+) -> DataFrame:
+    """The rows of the thinned curve with ``position`` and ``idx``.
+
+    Each row sits at position ``own``; the one marked ``twice`` also stands at ``extra``.
+    A short test first drops rows with no grid point near them; the exact one, too long
+    for the JIT compiler, then sees few rows.
+    """
+    step = (length - 1).cast("double") / (F.least(F.lit(points).cast("long"), length) - 1)
+    close = F.ceil(own / step - 1e-6) <= (own + 1) / step + 1e-6
+    near = rows.filter(twice | close)
+    spots = F.when(twice, F.array(own, extra)).otherwise(F.array(own))
+    return (
+        near.select("*", F.explode(spots).alias("position"))
+        .withColumn("idx", _thinned(F.col("position"), length, points))
+        .filter("idx is not null")
+    )
+
+
 def _bends(counts: DataFrame) -> DataFrame:
     """Distinct scores with ``keep`` and the running numbers the ROC curve needs.
 
@@ -114,11 +134,12 @@ def _bends(counts: DataFrame) -> DataFrame:
     """
     inside = Window.partitionBy("feature", "bucket").orderBy("value")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row = F.struct("n0", "n1")
-    local = counts.withColumn("below", F.lag(row).over(inside)).withColumn(
-        "bend", F.coalesce((F.col("below") != row).cast("long"), F.lit(0).cast("long"))
-    )
-    local = local.select(
+    changed = (F.lag("n0").over(inside) != F.col("n0")) | (F.lag("n1").over(inside) != F.col("n1"))
+    local = counts.select(
+        "*",
+        F.row_number().over(inside).alias("place"),
+        F.coalesce(changed.cast("long"), F.lit(0).cast("long")).alias("bend"),
+    ).select(
         "*",
         F.sum("n0").over(upto).alias("in_n0"),
         F.sum("n1").over(upto).alias("in_n1"),
@@ -128,8 +149,10 @@ def _bends(counts: DataFrame) -> DataFrame:
         F.sum("n0").alias("b0"),
         F.sum("n1").alias("b1"),
         F.sum("bend").alias("bends"),
-        F.min_by(row, "value").alias("head"),
-        F.max_by(row, "value").alias("last"),
+        F.min_by("n0", "value").alias("head0"),
+        F.min_by("n1", "value").alias("head1"),
+        F.max_by("n0", "value").alias("last0"),
+        F.max_by("n1", "value").alias("last1"),
         F.max("value").alias("top"),
         F.max_by("bend", "value").alias("top_bend"),
         F.count("*").alias("rows"),
@@ -137,9 +160,12 @@ def _bends(counts: DataFrame) -> DataFrame:
     curve = Window.partitionBy("feature")
     order = curve.orderBy("bucket")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    linked = buckets.withColumn("edge", F.lag("last").over(order)).withColumn(
-        # the first row of the lowest bucket has no row below and stays
-        "head_bend", F.coalesce((F.col("edge") != F.col("head")).cast("long"), F.lit(1).cast("long"))
+    turned = (F.lag("last0").over(order) != F.col("head0")) | (
+        F.lag("last1").over(order) != F.col("head1")
+    )
+    # the first row of the lowest bucket has no row below and stays
+    linked = buckets.withColumn(
+        "head_bend", F.coalesce(turned.cast("long"), F.lit(1).cast("long"))
     )
     # 1 when the very highest score does not bend and stays as the end point only
     straight = F.when(F.col("rows") == 1, 1 - F.col("head_bend")).otherwise(1 - F.col("top_bend"))
@@ -158,7 +184,7 @@ def _bends(counts: DataFrame) -> DataFrame:
         F.max_by(straight, "bucket").over(curve).alias("end_only"),
     )
     is_top = F.col("value") == F.col("top")
-    is_head = F.col("below").isNull()
+    is_head = F.col("place") == 1
     bent = F.when(is_head, F.col("head_bend")).otherwise(F.col("bend"))
     # one summary row per bucket
     return local.join(F.broadcast(summary), ["feature", "bucket"]).select(
@@ -183,16 +209,11 @@ def roc_curve(df: DataFrame, score: str, label: str, points: int = S.CURVE_POINT
     kept = _bends(O.counted_values(df, [score], label)).filter("keep")
     length = F.col("all_kept") + 1
     # the lowest score also stands for the start of the curve
-    position = F.explode(
-        F.when(
-            F.col("run_kept") == 1, F.array(length - 1, F.lit(0).cast("long"))
-        ).otherwise(F.array(length - F.col("run_kept")))
-    )
-    placed = kept.select("*", position.alias("position")).withColumn(
-        "idx", _thinned(F.col("position"), length, points)
+    placed = _picked(
+        kept, length - F.col("run_kept"), F.col("run_kept") == 1, F.lit(0).cast("long"), length, points
     )
     start = F.col("position") == 0
-    return placed.filter("idx is not null").select(
+    return placed.select(
         "idx",
         F.when(start, 0.0).otherwise(F.try_divide(F.col("fp"), F.col("all_n0"))).alias("fpr"),
         F.when(start, 0.0).otherwise(F.try_divide(F.col("tp"), F.col("all_n1"))).alias("tpr"),
@@ -202,18 +223,14 @@ def roc_curve(df: DataFrame, score: str, label: str, points: int = S.CURVE_POINT
 def pr_curve(df: DataFrame, score: str, label: str, points: int = S.CURVE_POINTS) -> DataFrame:
     """(idx, precision, recall) by rising threshold, closed by (1, 0)."""
     table = score_table(df, score, label)
-    length = F.col("all_one") + 1
-    position = F.explode(
-        F.when(
-            F.col("run_one") == F.col("all_one"), F.array(F.col("run_one") - 1, F.col("run_one"))
-        ).otherwise(F.array(F.col("run_one") - 1))
-    )
-    placed = table.select("*", position.alias("position")).withColumn(
-        "idx", _thinned(F.col("position"), length, points)
+    last = F.col("run_one") == F.col("all_one")
+    # the highest score also stands for the closing point
+    placed = _picked(
+        table, F.col("run_one") - 1, last, F.col("all_one"), F.col("all_one") + 1, points
     )
     end = F.col("position") == F.col("all_one")
     tp, fp = F.col("tp"), F.col("fp")
-    return placed.filter("idx is not null").select(
+    return placed.select(
         "idx",
         F.when(end, 1.0).otherwise(tp / (tp + fp)).alias("precision"),
         F.when(end, 0.0).otherwise(F.try_divide(tp, F.col("all_n1"))).alias("recall"),

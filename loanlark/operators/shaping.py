@@ -92,11 +92,11 @@ def dataset_summary(df: DataFrame, target: str = S.TARGET, ids: tuple = (S.ID,))
 def long_text(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """(keep.., feature, value): one row per cell, values as strings."""
     keep = keep or []
-    texts = [F.col(c).cast("string").alias(c) for c in cols]
+    cells = [F.struct(F.col(c).cast("string").alias("value"), *keep).alias(c) for c in cols]
     return (
-        df.select(*[F.col(k).alias(f"_{k}") for k in keep], *texts)
-        .unpivot([f"_{k}" for k in keep], cols, "feature", "value")
-        .select(*[F.col(f"_{k}").alias(k) for k in keep], "feature", "value")
+        df.select(*cells)
+        .unpivot([], cols, "feature", "cell")
+        .select(*[F.col(f"cell.{k}").alias(k) for k in keep], "feature", "cell.value")
     )
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe
+from loanlark.llm import bpe, token_files
 from loanlark.llm.common import table
 
 
@@ -23,8 +23,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to compressed files and read back."""
+    path = token_files.fresh_path(spark)
+    docs = table(spark, sf_dir, "documents")
+    token_files.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read(spark, path).select(
+        "doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op10_huffman": op10_huffman,
 }
 
 #: SQL can express none of the others' methods' results on whole tables.

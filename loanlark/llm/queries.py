@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, token_files
+from loanlark.llm import bpe, quality, token_files
 from loanlark.llm.common import table
 
 
@@ -23,6 +23,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs, "q", carry=["doc_id"]).select(
+        "doc_id", *[f"q.{c}" for c in quality.COUNTS if c != "n_lines"], "q.base_failed", "q.kept"
+    )
+
+
 def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to compressed files and read back."""
     path = token_files.fresh_path(spark)
@@ -35,6 +43,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op5_quality": op5_quality,
     "op10_huffman": op10_huffman,
 }
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, quality, token_files
+from loanlark.llm import bpe, decontamination, quality, token_files
 from loanlark.llm.common import table
 
 
@@ -31,6 +31,21 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"), "f")
+    n_hit = F.aggregate("f.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "f.n_words",
+        n_hit.alias("n_hit"),
+        F.size("f.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to compressed files and read back."""
     path = token_files.fresh_path(spark)
@@ -44,6 +59,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_quality": op5_quality,
+    "op7_decontaminate": op7_decontaminate,
     "op10_huffman": op10_huffman,
 }
 

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlark.llm.common import per_row, texts_of
+from loanlark.llm.common import in_portions, per_row, texts_of
 
 #: Entries of one generation of a worker's memo; two are kept.
 MEMO_WORDS = 200_000
 MEMO_PAIRS = 300_000
+#: Longest piece in bytes that is encoded side by side with others.
+SIDE_BY_SIDE = 48
 
 #: Unicode White_Space, which the pattern's \s means.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -69,6 +70,65 @@ class Memo(dict):
         return value
 
 
+class Lookup:
+    """Tokens by a 64-bit key of their bytes, for many strings at once.
+
+    The key grows to the left, so the strings that end at a place are tried from the
+    shortest on; ``may_go_on`` tells whether any token ends in the string.
+    """
+
+    SLOTS, MARKS = 18, 22
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        longest = max(map(len, ranks))
+        factor = 0x9E3779B97F4A7C15
+        self.power = np.array([pow(factor, k + 1, 1 << 64) for k in range(longest)], np.uint64)
+        tails: set[int] = set()
+        keys = {}
+        for token, i in ranks.items():
+            key = 0
+            for k, byte in enumerate(reversed(token)):
+                key = (key + int(self.power[k]) * (byte + 1)) & ((1 << 64) - 1)
+                if k < len(token) - 1:
+                    tails.add(key)
+            keys[i], self.size[i] = key, len(token)
+        if len(set(keys.values())) < len(keys):
+            raise ValueError("two tokens share a key")
+        self.mark = np.zeros(1 << self.MARKS, bool)
+        self.mark[self._slot(np.array(sorted(tails), np.uint64), 1, self.MARKS)] = True
+        self.tables, left = [], np.array(sorted(keys), np.int64)
+        own = np.array([keys[i] for i in left.tolist()], np.uint64)
+        while len(left):
+            slot = self._slot(own, 2 * len(self.tables) + 3, self.SLOTS)
+            ids, full = np.full(1 << self.SLOTS, -1, np.int64), np.zeros(1 << self.SLOTS, np.uint64)
+            ids[slot], full[slot] = left, own
+            self.tables.append((ids, full))
+            rest = ids[slot] != left
+            left, own = left[rest], own[rest]
+
+    @staticmethod
+    def _slot(key: np.ndarray, salt: int, bits: int) -> np.ndarray:
+        mixed = (key ^ (key >> np.uint64(29))) * np.uint64((0xBF58476D1CE4E5B9 * salt) & ((1 << 64) - 1) | 1)
+        return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+    def may_go_on(self, key: np.ndarray) -> np.ndarray:
+        return self.mark[self._slot(key, 1, self.MARKS)]
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The token of each key, or -1."""
+        found = np.full(len(key), -1, np.int64)
+        at = np.arange(len(key))
+        for n, (ids, full) in enumerate(self.tables):
+            slot = self._slot(key[at], 2 * n + 3, self.SLOTS)
+            same = full[slot] == key[at]
+            found[at[same]] = ids[slot[same]]
+            at = at[~same & (ids[slot] >= 0)]
+            if not len(at):
+                break
+        return found
+
+
 class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -79,8 +139,9 @@ class PrefixBpe:
         # looked up whole; the pattern splits a piece as it does within the text
         self.pieces = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
         self.fits = Memo(self._fits, MEMO_PAIRS)
-        self.parts = Memo(self._piece, MEMO_WORDS)
-        self.words = Memo(self._word, MEMO_WORDS)
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
+        self.lookup = Lookup(ranks)
 
     @classmethod
     def from_file(cls, content: bytes, pattern: str) -> PrefixBpe:
@@ -152,17 +213,99 @@ class PrefixBpe:
         whole = self.ranks.get(piece)
         return (whole,) if whole is not None else tuple(self.walk(self.extend(piece, [])))
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def split(self, word: str) -> list[str]:
+        """The pattern's matches within a piece between white space."""
         # letters after an optional blank are one match, a final mark a second
-        if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-            return self.parts[word]
-        if word[-1] in ".,!?;:" and word[1:-1].isalpha() and (word[0] == " " or word[0].isalpha()):
-            return self.parts[word[:-1]] + self.parts[word[-1]]
-        found = map(self.parts.__getitem__, self.pattern.findall(word))
-        return tuple(chain.from_iterable(found))
-
-    def encode(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.words.__getitem__, self.pieces.findall(text)))
+        if word[0] == " " or word[0].isalpha():
+            if word[1:].isalpha():
+                return [word]
+            if word[-1] in ".,!?;:" and word[1:-1].isalpha():
+                return [word[:-1], word[-1]]
+        return self.pattern.findall(word)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's end."""
+        parts, sizes = [np.empty(0, np.int32)], []
+        split = [self.pieces.findall(t) for t in texts]
+        for begin, end in in_portions([len(s) for s in split], MEMO_WORDS // 4):
+            self._learn(set().union(*split[begin:end]))
+            ids = [list(chain.from_iterable(map(self.words.__getitem__, s))) for s in split[begin:end]]
+            sizes += map(len, ids)
+            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids))))
+        return np.concatenate(parts), np.cumsum([0, *sizes])
+
+    def _learn(self, words: set[str]) -> None:
+        """Bring words into the memo; what it lacks is encoded all at once."""
+        known, before = self.words, self.before
+        if len(known) + len(words) > MEMO_WORDS:
+            self.before = before = known
+            self.words = known = {}
+        lacking = []
+        for word in words.difference(known):
+            ids = before.get(word)
+            if ids is None:
+                lacking.append(word)
+            else:
+                known[word] = ids
+        matches = [self.split(w) for w in lacking]
+        new = list(set(chain.from_iterable(matches)))
+        found = dict(zip(new, self.many([m.encode() for m in new])))
+        for word, own in zip(lacking, matches):
+            known[word] = found[own[0]] if len(own) == 1 else tuple(chain.from_iterable(map(found.__getitem__, own)))
+
+    def many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Encode many pieces side by side: entry by entry of ``last``, for all at once."""
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        open_ones = []
+        for i, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[i] = (whole,)
+            elif len(piece) > SIDE_BY_SIDE:
+                out[i] = tuple(self.walk(self.extend(piece, [])))
+            else:
+                open_ones.append(i)
+        if not open_ones:
+            return out
+        open_ones.sort(key=lambda i: -len(pieces[i]))
+        sizes = np.array([len(pieces[i]) for i in open_ones])
+        width = int(sizes[0])
+        raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in open_ones), np.uint8).reshape(-1, width)
+        last = np.zeros(raw.shape, np.int64)
+        t = self.lookup
+        for i in range(1, width + 1):
+            rows = np.arange(np.searchsorted(-sizes, -i, "right"))
+            key = np.zeros(len(rows), np.uint64)
+            for start in range(i - 1, max(0, i - self.longest) - 1, -1):
+                key = key + t.power[i - 1 - start] * (raw[rows, start].astype(np.uint64) + np.uint64(1))
+                token = t.find(key)
+                at = np.flatnonzero(token >= 0)
+                if len(at):
+                    before = last[rows[at], start - 1] if start else START >> 24
+                    pairs, back = np.unique((before << 24) | token[at], return_inverse=True)
+                    fit = np.fromiter(map(self.fits.__getitem__, pairs.tolist()), bool, len(pairs))[back]
+                    at = at[fit]
+                    last[rows[at], i - 1] = token[at]
+                # a prefix has one last token: rows that have it are done
+                going = t.may_go_on(key)
+                going[at] = False
+                rows, key = rows[going], key[going]
+                if not len(rows):
+                    break
+        at, tokens = sizes.copy(), []
+        rows = np.arange(len(sizes))
+        while (at > 0).any():
+            found = np.where(at > 0, last[rows, at - 1], -1)
+            tokens.append(found)
+            at = np.where(at > 0, at - t.size[found], 0)
+        table = np.array(tokens[::-1]).T
+        used = (table >= 0).sum(axis=1)
+        for i, row, n in zip(open_ones, table.tolist(), used.tolist()):
+            out[i] = tuple(row[-n:])
+        return out
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -186,7 +329,7 @@ class PrefixBpe:
             if m.start() - shift in borders and m.start() >= start + len(new):
                 end = m.start() - shift
                 break
-            middle.extend(self.parts[m.group()])
+            middle.extend(self._piece(m.group()))
         cut = _ids_before(self.token, ids, len(text[:begin].encode()))
         tail = ids[_ids_before(self.token, ids, len(text[:end].encode())) :] if end is not None else []
         return changed, ids[:cut] + middle + tail
@@ -218,10 +361,8 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, text: str = "text", i
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         model = _model(content.value, pattern)
-        parts = [np.fromiter(model.encode(t), np.int32) for t in texts_of(batch)]
-        ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-        flat = np.concatenate([np.empty(0, np.int32), *parts])
-        return {ids: pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+        flat, ends = model.encode_all(texts_of(batch))
+        return {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}
 
     return per_row(docs, [F.col(f"`{text}`")], work, [T.StructField(ids, T.ArrayType(T.IntegerType()))])
 

@@ -14,6 +14,9 @@ from loanlark.session import through_storage
 #: Words handled at a time by the vectorised steps: bounds a worker's memory for any batch.
 WORDS_AT_ONCE = 400_000
 
+#: Bytes of a batch that a worker handles at once.
+SLICE_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -50,7 +53,7 @@ def per_row(
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             new = work(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[new[n] for n in names]], names=["row", *names]
@@ -60,6 +63,14 @@ def per_row(
     return packed.mapInArrow(run, schema).select("row.*", *[F.col(f"`{n}`") for n in names])
 
 
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of about ``limit`` bytes, one row at least."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * limit // max(batch.nbytes, limit))
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def texts_of(batch: pa.RecordBatch, at: str = "0") -> list[str]:
     """A text column as strings; null reads as empty."""
     return [t or "" for t in batch.column(at).to_pylist()]

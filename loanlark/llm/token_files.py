@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from loanlark.llm.bpe import read_ranks
-from loanlark.llm.common import in_portions, stored, texts_of
+from loanlark.llm.common import in_portions, slices, stored, texts_of
 from loanlark.session import scratch_path
 
 LIMIT = 20
@@ -89,7 +89,7 @@ def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, wide: bool = Fal
             _tokens.clear()
             _tokens[key] = Tokens(content.value, dtype)
         end = np.array([end_id], dtype).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             packed = [p + end for p in _tokens[key].encode(texts_of(batch, "text"))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
@@ -171,7 +171,7 @@ def count_ids(packed: DataFrame, wide: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] | np.ndarray = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype)
             found = np.bincount(ids)
             if len(found) < len(total):
@@ -205,7 +205,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, wide: bo
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, cuts = Codec(*codec.value[:2]), codec.value[2]
-        for batch in batches:
+        for batch in slices(batches):
             rows = [np.frombuffer(p, dtype) for p in batch.column(1).to_pylist()]
             coded = [c.encode(r) for r in rows]
             ends = np.cumsum([0, *(len(o) for _, o in coded)])

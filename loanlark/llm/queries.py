@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, decontamination, quality, token_files
+from loanlark.llm import bpe, decontamination, pii, quality, token_files
 from loanlark.llm.common import table
 
 
@@ -46,6 +46,20 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("s", lambda x: x["base"])
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return pii.find(docs, "s").select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans")
+    )
+
+
 def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to compressed files and read back."""
     path = token_files.fresh_path(spark)
@@ -60,6 +74,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_quality": op5_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op9_pii": op9_pii,
     "op10_huffman": op10_huffman,
 }
 

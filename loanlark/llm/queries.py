@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, decontamination, pii, quality, token_files
+from loanlark.llm import bpe, decontamination, near_dedup, pii, quality, token_files
 from loanlark.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -72,6 +77,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op7_decontaminate": op7_decontaminate,
     "op9_pii": op9_pii,

@@ -22,9 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark then removes an execution's shuffle files as soon as it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the folder of ``spark.checkpoint.dir`` and read back: a durable cut."""
-    return through_storage(df, name)
+    """Write to the folder of ``spark.checkpoint.dir`` and read back: a durable cut.
+
+    Nothing reads the shuffles of the write again, so they are not left on the disks.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        return through_storage(df, name)
+    finally:
+        conf.set(CLEAN_UP, before)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, decontamination, near_dedup, pii, quality, token_files
+from loanlark.llm import bpe, decontamination, near_dedup, pii, quality, substring_dedup, token_files
 from loanlark.llm.common import table
 
 
@@ -51,6 +51,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document in passages that occur elsewhere too."""
+    made = substring_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +86,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_huffman": op10_huffman,
 }

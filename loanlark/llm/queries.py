@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, decontamination, near_dedup, pii, quality, substring_dedup, token_files
+from loanlark.llm import bpe, decontamination, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
 from loanlark.llm.common import table
 
 
@@ -23,6 +23,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without repeated and nearly repeated lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = line_dedup.dedup_lines(docs, removed="n_removed")
+    return made.select(
+        "doc_id", "n_removed", F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -83,6 +92,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op7_decontaminate": op7_decontaminate,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, decontamination, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
+from loanlark.llm import bpe, chat_format, decontamination, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
 from loanlark.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as each of its participants would speak it."""
+    return chat_format.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -93,6 +98,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
+    "op3_perspectives": op3_perspectives,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op7_decontaminate": op7_decontaminate,
@@ -102,4 +108,4 @@ QUERIES = {
 }
 
 #: SQL can express none of the others' methods' results on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_perspectives": chat_format.ORACLE}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, chat_format, decontamination, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
+from loanlark.llm import bpe, chat_format, decontamination, language_model, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
 from loanlark.llm.common import table
 
 
@@ -50,6 +50,19 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model probability of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held_out)
+    training = docs.where("not held_out").select(F.coalesce("text", F.lit("")).alias("t"))
+    words = language_model.learn_words(training)
+    scored = language_model.score(docs, words, language_model.train(training, words), ["doc_id", "held_out"], "text")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +114,7 @@ QUERIES = {
     "op3_perspectives": op3_perspectives,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
+    "op6_language_model": op6_language_model,
     "op7_decontaminate": op7_decontaminate,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,

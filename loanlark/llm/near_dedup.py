@@ -1,11 +1,11 @@
 """Near-duplicate documents: MinHash bands, odd sketches, and checks on full sets.
 
-A document's set holds its runs of ``width`` lower-cased (A-Z) words. ``BANDS`` x ``ROWS`` MinHash
-samples give the bands; a pair of similarity 0.8 shares no band with a chance of 3 in a
-million, less above. The samples are folded into a parity bitmap of ``BITS`` bits; the bits in
-which two bitmaps differ estimate the similarity with the samples' own deviation, so pairs
-estimated ``MARGIN`` (five deviations) below the threshold are not looked at further. All others are
-confirmed on the full sets of words.
+A document's set holds its runs of ``width`` lower-cased (A-Z) words. The first ``BANDS`` x ``ROWS``
+of ``SAMPLES`` MinHash samples give the bands; a pair of similarity 0.8 shares no band with a
+chance of 3 in a million, less above. All samples are folded into a parity bitmap of ``BITS``
+bits; the bits in which two bitmaps differ estimate the similarity with little more than the
+samples' own deviation (0.016), so pairs estimated ``MARGIN`` (five deviations) below the threshold
+are not looked at further. All others are confirmed on the full sets of words.
 
 Documents of equal sets are one class and only its least id is compared. In each band bucket
 every class is compared with the least one; what that leaves in different components of a
@@ -32,9 +32,12 @@ from pyspark.sql import functions as F
 from loanlark.llm.common import in_portions, slices, stored, texts_of
 from loanlark.llm.components import components
 
-ROWS, BANDS, BITS = 5, 32, 256
+ROWS, BANDS = 5, 32
+SAMPLES, BITS = 640, 1024
 PERCENT = 80
-MARGIN = 0.16
+MARGIN = 0.085
+#: Bits of the odd sketch of a whole set, for the last comparisons.
+SET_BITS = 4096
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -44,7 +47,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 #: One odd factor for each MinHash sample.
-FACTORS = _mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
+FACTORS = _mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -91,7 +94,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
                 yield _signed(batch.column(0).slice(begin, end - begin), words[begin:end], width)
 
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t")).mapInArrow(
-        run, "id long, n long, s1 long, s2 long, bands array<long>, odd array<long>"
+        run, "id long, n long, s1 long, s2 long, bands array<long>, odd array<long>, parity array<long>"
     )
 
 
@@ -105,18 +108,22 @@ def _signed(ids: pa.Array, words: list[list[bytes]], width: int) -> pa.RecordBat
     parity = np.zeros((len(words), BITS), np.uint8)
     if len(full):
         sums[0, full], sums[1, full] = _sums(_mix(key), starts), _sums(_mix(key ^ FACTORS[0]), starts)
+        value = np.empty_like(key)
         for j, factor in enumerate(FACTORS):
-            value = key * factor
-            value ^= value >> np.uint64(29)
-            value *= np.uint64(0xBF58476D1CE4E5B9)
+            np.bitwise_xor(key, factor, out=value)
+            np.multiply(value, FACTORS[-1 - j], out=value)
             least = _mix(np.minimum.reduceat(value, starts) ^ factor)
-            bands[full, j // ROWS] = _mix(bands[full, j // ROWS] * np.uint64(31) + least)
+            if j < ROWS * BANDS:
+                bands[full, j // ROWS] = _mix(bands[full, j // ROWS] * np.uint64(31) + least)
             parity[full, (least % np.uint64(BITS)).astype(np.int64)] ^= 1
     odd = np.packbits(parity, axis=1).view(np.int64)
+    place = owner * SET_BITS + (_mix(key ^ FACTORS[1]) % np.uint64(SET_BITS)).astype(np.int64)
+    whole = (np.bincount(place, minlength=len(words) * SET_BITS) & 1).astype(np.uint8).reshape(-1, SET_BITS)
+    whole = np.packbits(whole, axis=1).view(np.int64)
     lists = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * m.shape[1], pa.int32()), pa.array(m.reshape(-1)))
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(count, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), lists(bands.view(np.int64)), lists(odd)],
-        names=["id", "n", "s1", "s2", "bands", "odd"],
+        [ids, pa.array(count, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), lists(bands.view(np.int64)), lists(odd), lists(whole)],
+        names=["id", "n", "s1", "s2", "bands", "odd", "parity"],
     )
 
 
@@ -125,10 +132,24 @@ def near_enough(one: str, other: str, percent: int) -> Column:
     low, high = F.least(f"{one}.n", f"{other}.n"), F.greatest(f"{one}.n", f"{other}.n")
     differ = sum((F.bit_count(F.col(f"{one}.odd")[i].bitwiseXOR(F.col(f"{other}.odd")[i])) for i in range(BITS // 64)), F.lit(0))
     # samples that differ, from the share of odd bits; beyond half, there is no estimate
-    most = int((1 - np.exp(-4 * ROWS * BANDS * (1 - percent / 100 + MARGIN) / BITS)) * BITS / 2)
+    most = int((1 - np.exp(-4 * SAMPLES * (1 - percent / 100 + MARGIN) / BITS)) * BITS / 2)
     return (100 * low >= percent * high) & (differ <= most)
 
 
+def sets_near(one: str, other: str, percent: int) -> Column:
+    """Whether the odd sketches of two whole sets allow the similarity.
+
+    Sets that are near enough differ in few elements; the bits in which their sketches
+    differ then exceed the expected number by six deviations at most.
+    """
+    low, high = F.least(f"{one}.n", f"{other}.n"), F.greatest(f"{one}.n", f"{other}.n")
+    differ = sum((F.bit_count(F.col(f"{one}.parity")[i].bitwiseXOR(F.col(f"{other}.parity")[i])) for i in range(SET_BITS // 64)), F.lit(0))
+    most = (low + high) * float((100 - percent) / (100 + percent))
+    left = F.exp(most * (-2.0 / SET_BITS))
+    spread = F.sqrt(SET_BITS / 4 * (1 - left * left) - most * left * left + 1)
+    return (100 * low >= percent * high) & (differ <= SET_BITS / 2 * (1 - left) + 6 * spread)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are near enough."""
     held = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
@@ -160,36 +181,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = signed.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("class"))
     classes = stored(classes, "classes")
     heads = classes.select(F.col("class").alias("id")).join(signed.dropDuplicates(["id"]), "id")
-    rows = stored(heads.select("id", "n", "odd", F.explode("bands").alias("band")), "bands")
-    shared = rows.groupBy("band").agg(F.min_by(F.struct("id", "n", "odd"), "id").alias("x"), F.count("*").alias("size")).where("size > 1")
-    shared = stored(shared, "buckets")
-    members = stored(rows.join(shared.select("band"), "band", "left_semi"), "bucket-members")
-    first = (
-        members.select("band", F.struct("id", "n", "odd").alias("y")).join(shared, "band")
-        .where((F.col("x.id") < F.col("y.id")) & near_enough("x", "y", percent))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    )
-    first = stored(first, "pairs")
+    heads = stored(heads.select("id", "n", "odd", "bands"), "heads")
+    sketches = heads.select("id", F.struct("id", "n", "odd").alias("v"))
+    rows = heads.select("id", F.explode("bands").alias("band"))
+    shared = stored(rows.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1"), "buckets")
+    members = stored(rows.join(shared, "band").select("band", "id", "a", "size"), "bucket-members")
+    first = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    first = stored(_hopeful(first, sketches, percent), "pairs")
     links = stored(confirmed(first, _texts(docs, first, doc_id, text), width, percent), "near-links")
     found = stored(components(links), "components")
 
     # buckets of three and more that still hold several components
-    part = (
-        members.join(shared.where("size > 2").select("band"), "band", "left_semi")
-        .join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    )
+    part = members.where("size > 2").join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
     part = stored(part, "bucket-components")
-    mixed = part.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    rest = part.join(mixed, "band", "left_semi").select("band", "component", F.struct("id", "n", "odd").alias("v"))
-    x, y = rest.select("band", F.col("component").alias("cx"), F.col("v").alias("x")), rest.select("band", F.col("component").alias("cy"), F.col("v").alias("y"))
-    second = (
-        x.join(y, (x["band"] == y["band"]) & (F.col("cx") != F.col("cy")) & (F.col("x.id") < F.col("y.id")) & near_enough("x", "y", percent))
+    mixed = part.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("band")
+    rest = part.join(mixed, "band", "left_semi")
+    apart = rest.select("id").distinct().join(signed.dropDuplicates(["id"]), "id").select("id", F.struct("id", "n", "odd", "parity").alias("v"))
+    rest = stored(rest.join(apart, "id").select("band", "c", "v"), "bucket-rest")
+    x, y = rest.select("band", F.col("c").alias("cx"), F.col("v").alias("x")), rest.select("band", F.col("c").alias("cy"), F.col("v").alias("y"))
+    pairs = (
+        x.join(y, (x["band"] == y["band"]) & (F.col("cx") != F.col("cy")) & (F.col("x.id") < F.col("y.id")) & near_enough("x", "y", percent) & sets_near("x", "y", percent))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
     )
-    second = stored(second, "more-pairs")
-    if not second.isEmpty():
-        more = confirmed(second, _texts(docs, second, doc_id, text), width, percent)
+    pairs = stored(pairs.join(first, ["a", "b"], "left_anti"), "more-pairs")
+    if not pairs.isEmpty():
+        more = confirmed(pairs, _texts(docs, pairs, doc_id, text), width, percent)
         found = stored(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)), "components")
 
     grouped = classes.join(found.withColumnRenamed("id", "class"), "class", "left").select(*same, F.coalesce("component", "class").alias("c"))
@@ -201,6 +217,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
+def _hopeful(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the sketches leave open."""
+    return (
+        pairs.join(sketches.select(F.col("id").alias("a"), F.col("v").alias("x")), "a")
+        .join(sketches.select(F.col("id").alias("b"), F.col("v").alias("y")), "b")
+        .where(near_enough("x", "y", percent)).select("a", "b")
+    )
+
+
 def _texts(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The texts that pairs need, stored; a text travels once however many pairs it has."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()

@@ -27,19 +27,39 @@ def ks_p_value(d: Column, n0: Column, n1: Column) -> Column:
 
 
 def _chi2_tail(x: float, dof: int) -> float:
-    half = x / 2.0
-    if half <= 0:
+    """Upper incomplete gamma ratio at (dof / 2, x / 2), by whichever expansion converges.
+
+    Below the mean the power series of the lower part is summed, above it the continued
+    fraction of the upper part; both stop when a term no longer counts, after a number of
+    steps that grows with the root of ``dof``.
+    """
+    a, h = dof / 2.0, x / 2.0
+    if h <= 0:
         return 1.0
-    term = total = 0.0
-    if dof % 2 == 0:
-        start, steps = 0.0, dof // 2
-    else:
-        total, start, steps = math.erfc(math.sqrt(half)), 0.5, dof // 2
-    for j in range(steps):
-        power = j + start
-        term = math.exp(power * math.log(half) - half - math.lgamma(power + 1.0))
-        total += term
-    return min(1.0, total)
+    scale = math.exp(a * math.log(h) - h - math.lgamma(a))
+    if h < a + 1.0:
+        term = total = 1.0 / a
+        n = a
+        while abs(term) > total * 1e-17:
+            n += 1.0
+            term *= h / n
+            total += term
+        return min(1.0, max(0.0, 1.0 - total * scale))
+    tiny = 1e-300
+    b = h + 1.0 - a
+    c, d = 1.0 / tiny, 1.0 / b
+    fraction, i = d, 0
+    while True:
+        i += 1
+        k = -i * (i - a)
+        b += 2.0
+        d = k * d + b
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = b + k / c
+        c = c if abs(c) > tiny else tiny
+        fraction *= c * d
+        if abs(c * d - 1.0) < 1e-16:
+            return min(1.0, fraction * scale)
 
 
 @F.pandas_udf(T.DoubleType())

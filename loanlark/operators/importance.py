@@ -1,4 +1,4 @@
-"""Feature importance: loss of AUC when one feature is shuffled, on a bounded sample."""
+"""Feature importance: loss of AUC when one feature is shuffled."""
 
 from __future__ import annotations
 
@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlark import settings as S
+from loanlark.functions import ordering as O
 from loanlark.operators import learner
 
+SCORE_RANGES = 4096
+
 
 def permutation_importance(
     model: GBTClassificationModel,
@@ -16,31 +19,28 @@ def permutation_importance(
     features: list[str],
     key: str = S.ID,
     label: str = S.TARGET,
-    rows: int = S.IMPORTANCE_ROWS,
+    rows: int | None = None,
     seed: int = S.SEED,
 ) -> DataFrame:
     """(feature, importance, gain): AUC drop per feature and the trees' own gain share.
 
-    The sample of at most ``rows`` rows is part of the definition. All features are
-    scored in one job: the sample once per feature with that feature shuffled, and once
-    unchanged.
+    All rows are scored, or a sample of ``rows`` of them where that is asked for. All
+    features are scored in one job: the rows once per feature with that feature shuffled, and
+    once unchanged. Rows are paired with their donors by two ranks of hashes of the id.
     """
-    sample = (
+    given = (
         df.select(
             F.col(key).cast("long").alias("id"),
             F.col(label).cast("int").alias("y"),
             F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
         )
-        .orderBy(F.xxhash64("id", F.lit(seed)))
-        .limit(rows)
-    )
-    whole = Window.partitionBy(F.lit(0))
-    placed = sample.select(
-        "*",
-        F.row_number().over(whole.orderBy(F.xxhash64("id", F.lit(seed)))).alias("place"),
-        F.row_number().over(whole.orderBy(F.xxhash64("id", F.lit(seed + 1)))).alias("other"),
+        .withColumns({"k1": F.xxhash64("id", F.lit(seed)), "k2": F.xxhash64("id", F.lit(seed + 1))})
     )
-    donors = placed.select(F.col("other").alias("place"), F.col("x").alias("shuffled"))
+    if rows is not None:
+        given = given.orderBy("k1").limit(rows)
+    one = F.lit("all")
+    placed = O.ranks_by_key(given, one, "k1", "place")
+    donors = O.ranks_by_key(given, one, "k2", "place").select("place", F.col("x").alias("shuffled"))
     variants = F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1)))
     changed = (
         placed.join(donors, "place")
@@ -59,19 +59,13 @@ def permutation_importance(
         .select("variant", "y", "x")
     )
     scored = learner.raw_scores(model, changed, name="p").select("variant", "y", "p")
-    # at most ``rows`` rows per variant
-    ties = (
+    # scores lie in [0, 1]: their ranges need no quantiles, and equal scores are one row
+    ties = O.running_sums(
         scored.groupBy("variant", "p")
         .agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
-        .withColumn(
-            "below",
-            F.sum("n0").over(
-                Window.partitionBy("variant")
-                .orderBy("p")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-    )
+        .withColumns({"feature": F.col("variant"), "bucket": F.floor(F.col("p") * SCORE_RANGES).cast("int")}),
+        "p", ["n0"],
+    ).withColumnRenamed("run_n0", "below")
     auc = ties.groupBy("variant").agg(
         F.try_divide(
             F.sum(F.col("n1") * (F.col("below") - F.col("n0") / 2)), F.sum("n0") * F.sum("n1")

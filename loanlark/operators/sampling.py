@@ -55,6 +55,8 @@ def stratified_split(
         r["c"]: r["count"]
         for r in df.groupBy(F.col(label).cast("string").alias("c")).count().collect()
     }
+    if None in classes:
+        raise ValueError(f"{classes[None]} rows have no {label}: drop them before the split")
     train = _train_sizes(classes, test_size)
     wanted = F.lit(None).cast("long")
     cells_label = F.col("feature")

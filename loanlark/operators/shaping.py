@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,12 @@ def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 def null_fractions(df: DataFrame) -> DataFrame:
     """(column_name, null_fraction): one pass, one row of counts, then one row per column."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]
     )
-    return counts.unpivot(["_rows"], df.columns, "column_name", "filled").select(
-        "column_name",
-        F.try_divide(F.col("_rows") - F.col("filled"), F.col("_rows")).alias("null_fraction"),
+    # numbered, so that any column name can be counted
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(df.columns)]
+    return counts.select("n", F.inline(F.array(*cells))).select(
+        "column_name", F.try_divide(F.col("n") - F.col("filled"), F.col("n")).alias("null_fraction")
     )
 
 
@@ -42,7 +43,7 @@ def drop_sparse_columns(df: DataFrame, limit: float = S.NULL_FRACTION_LIMIT) ->
         r["column_name"]
         for r in null_fractions(df).filter(F.col("null_fraction") <= limit).collect()
     }
-    return df.select(*[c for c in df.columns if c in kept])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in kept])
 
 
 def align_columns(df: DataFrame, like: DataFrame | T.StructType, exclude: tuple = ()) -> DataFrame:
@@ -153,9 +154,3 @@ def crosstab(
         .agg(F.count_if(label == 0).alias("n0"), F.count_if(label == 1).alias("n1"))
     )
 
-
-def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Add each row's share of the column total; for bounded report tables."""
-    return df.withColumn(
-        name, F.try_divide(F.col(value), F.sum(value).over(Window.partitionBy(F.lit(0))))
-    )

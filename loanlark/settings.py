@@ -45,8 +45,6 @@ NEIGHBOURS = 5
 
 SEARCH_TRIALS = 50
 SEARCH_FOLDS = 5
-EARLY_STOPPING_ROUNDS = 50
-IMPORTANCE_ROWS = 3000
 IMPORTANCE_STORED = 50
 IMPORTANCE_TOP = 20
 PAGE_ROWS = 7

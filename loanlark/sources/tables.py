@@ -5,7 +5,7 @@ Schemas are declared, so no inference job runs and the month status stays a stri
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,9 @@ TEXT_COLUMNS = {"FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE",
 # Tables whose whole header is kept, typed by name; the others keep their declared columns.
 OPEN_TABLES = {"train", "test"}
 
+# Spellings of a missing cell.
+NULL_SPELLINGS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                  "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 TYPES = {
     "long": T.LongType(),
@@ -104,11 +107,30 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+def checked_cell(name: str, kind: T.DataType) -> Column:
+    """A text cell as ``kind``: null spellings and NaN become null, other misfits an error."""
+    text = F.trim(F.col(f"`{name}`"))
+    given = F.when(~text.isin(*NULL_SPELLINGS), text)
+    if isinstance(kind, T.StringType):
+        return F.when(~text.isin(*NULL_SPELLINGS), F.col(f"`{name}`")).alias(name)
+    number = given.try_cast("double")
+    # whole numbers beyond 2^53 are exact only when read as such
+    value = F.coalesce(given.try_cast(kind), number.try_cast(kind)) if isinstance(kind, T.IntegralType) else number
+    fits = value.isNotNull() & ((value.cast("double") == number) | ~F.lit(isinstance(kind, T.IntegralType)))
+    message = F.concat(F.lit(f"column {name}: not of type {kind.simpleString()}: "), given)
+    return F.when(given.isNull() | F.isnan(number), F.lit(None).cast(kind)).when(fits, value).otherwise(
+        F.raise_error(message).cast(kind)
+    ).alias(name)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    """A CSV file with a header; a cell that does not fit its column stops the read."""
+    schema = struct(schema) if isinstance(schema, str) else schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    reader = spark.read.schema(texts).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.csv(path)
+    return reader.csv(path).select(*[checked_cell(f.name, f.dataType) for f in schema.fields])
 
 
 def load_table(spark: SparkSession, name: str, folder: str, file: str | None = None) -> DataFrame:

@@ -44,7 +44,10 @@ def learner(params: dict | None = None, label: str = S.TARGET) -> GBTClassifier:
 
 
 def mapped_params(params: dict) -> dict:
-    out = {PARAM_NAMES[k]: v for k, v in params.items() if k in PARAM_NAMES}
+    unknown = sorted(set(params) - set(PARAM_NAMES))
+    if unknown:
+        raise ValueError(f"no such learner parameters: {unknown}; known: {sorted(PARAM_NAMES)}")
+    out = {PARAM_NAMES[k]: v for k, v in params.items()}
     if "featureSubsetStrategy" in out:
         out["featureSubsetStrategy"] = str(float(out["featureSubsetStrategy"]))
     return out

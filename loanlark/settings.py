@@ -49,15 +49,12 @@ IMPORTANCE_STORED = 50
 IMPORTANCE_TOP = 20
 PAGE_ROWS = 7
 
-# Search ranges of the tuned learner: (low, high, log scale).
+# Search ranges of the tuned learner that it has a counterpart for: (low, high, log scale).
 SEARCH_RANGES = {
     "n_estimators": (300, 1500, False),
     "learning_rate": (0.01, 0.1, True),
-    "num_leaves": (20, 150, False),
     "max_depth": (3, 12, False),
     "min_child_samples": (10, 100, False),
     "subsample": (0.5, 1.0, False),
     "colsample_bytree": (0.4, 1.0, False),
-    "reg_alpha": (1e-4, 10.0, True),
-    "reg_lambda": (1e-4, 10.0, True),
 }

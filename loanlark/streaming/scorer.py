@@ -8,9 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 from loanlark.operators import scoring
 
 
-def read_applications(spark: SparkSession, folder: str, fmt: str = "json") -> DataFrame:
-    """Application records as an unbounded table."""
-    return spark.readStream.format(fmt).schema(scoring.REQUEST_SCHEMA).load(folder)
+def read_applications(
+    spark: SparkSession, folder: str, fmt: str = "json", files: int = 10_000
+) -> DataFrame:
+    """Application records as an unbounded table; a backlog is read ``files`` at a time."""
+    reader = spark.readStream.format(fmt).schema(scoring.REQUEST_SCHEMA)
+    return reader.option("maxFilesPerTrigger", files).load(folder)
 
 
 def _start(df: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:

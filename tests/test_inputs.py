@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlark.functions.tails import _chi2_tail
-from loanlark.operators import sampling, shaping
+from loanlark.operators import learner, sampling, shaping
 from loanlark.sources import tables
 
 
@@ -53,3 +53,8 @@ def test_chi_square_tail():
         assert _chi2_tail(x, dof) == pytest.approx(want, rel=1e-9)
     began = time.time()
     assert 0.4 < _chi2_tail(1e9, 1_000_000_000) < 0.6 and time.time() - began < 5
+
+
+def test_unknown_learner_parameters_are_refused():
+    with pytest.raises(ValueError, match="num_leaves"):
+        learner.mapped_params({"max_depth": 3, "num_leaves": 31})

@@ -26,7 +26,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without repeated and nearly repeated lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = line_dedup.dedup_lines(docs, removed="n_removed")
+    made = line_dedup.dedup_lines(docs, removed="n_removed", least_words=1)
     return made.select(
         "doc_id", "n_removed", F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256")
     )

@@ -9,6 +9,9 @@ be decoded alone, and all its strides at once, by one table look-up for each id.
 The container has three parts: ``codes`` (id, length), ``blocks`` and ``shards`` (ids in all
 shards before). A shard is a range of document ids of about ``SHARD_BYTES``.
 
+Ids are the library's for ``add_special_tokens=False``: texts that hold an added token, such as
+``<|endoftext|>``, go to it whole.
+
 Defined results: null and empty texts have only the end id; repeated rows are each written,
 rows of equal document id in the order of their codes; null document ids come first; an
 empty table gives an empty container; other columns are not written.
@@ -50,14 +53,23 @@ PIECES = re.compile(
 
 
 class Tokens:
-    """The tokenizer with a memo of pieces that its own splitting never joins."""
+    """The tokenizer with a memo of pieces that its own splitting never joins.
+
+    With ``added``, added tokens are found as the library finds them by default; without, those
+    that are special are encoded as plain text.
+    """
 
-    def __init__(self, content: str, dtype: np.dtype):
+    def __init__(self, content: str, dtype: np.dtype, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(content)
-        self.library.encode_special_tokens = True
+        self.added = None
+        if added:
+            names = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
+            self.added = re.compile("|".join(map(re.escape, names))) if names else None
+        else:
+            self.library.encode_special_tokens = True
         self.dtype, self.memo, self.before = dtype, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -65,7 +77,8 @@ class Tokens:
         return [array("H" if self.dtype.itemsize == 2 else "I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if PLAIN.search(t) else PIECES.findall(t) for t in texts]
+        apart = lambda t: PLAIN.search(t) or self.added and self.added.search(t)
+        split = [None if apart(t) else PIECES.findall(t) for t in texts]
         out = [b""] * len(texts)
         for begin, end in in_portions([len(s or ()) for s in split], 300_000):
             part = [s for s in split[begin:end] if s]
@@ -95,7 +108,7 @@ def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, wide: bool = Fal
         key = hash((content.value, wide))
         if key not in _tokens:
             _tokens.clear()
-            _tokens[key] = Tokens(content.value, dtype)
+            _tokens[key] = Tokens(content.value, dtype, added=True)
         end = np.array([end_id], dtype).tobytes()
         for batch in slices(batches):
             packed = [p + end for p in _tokens[key].encode(texts_of(batch, "text"))]

@@ -53,14 +53,16 @@ def per_row(
     inputs: list[Column],
     work: Callable[[pa.RecordBatch], dict[str, pa.Array]],
     fields: list[T.StructField],
+    carry: list[Column] | None = None,
 ) -> DataFrame:
     """Append columns computed batch by batch in Arrow; all other columns pass through.
 
-    The given row travels as one struct, so its names cannot clash with ``inputs``, which
-    reach ``work`` as columns named 0, 1, ... ``fields`` must not be names of the table.
+    The given row (or the columns ``carry`` of it) travels as one struct, so its names cannot
+    clash with ``inputs``, which reach ``work`` as columns named 0, 1, ... ``fields`` must not be
+    names of the table.
     """
     packed = df.select(
-        F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"),
+        F.struct(*([df[f"`{c}`"] for c in df.columns] if carry is None else carry)).alias("row"),
         *[c.alias(str(i)) for i, c in enumerate(inputs)],
     )
     names = [f.name for f in fields]

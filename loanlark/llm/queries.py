@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlark.llm import bpe, chat_format, decontamination, language_model, line_dedup, near_dedup, pii, quality, substring_dedup, token_files
+from loanlark.llm import (
+    bpe, chat_format, decontamination, language_model, line_dedup, near_dedup, pii, quality, quality_classifier, spelling, substring_dedup,
+    token_alignment, token_files,
+)
 from loanlark.llm.common import table
 
 
@@ -108,6 +111,27 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among all words of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    made = token_alignment.link_statistics(docs, a, b, "t")
+    return made.select("doc_id", *[f"t.{c}" for c in (*token_alignment.NUMBERS, "n_best", "count_sum")], F.col("t.groups").alias("groups_sha256"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is good, learnt from three quarters of the labels."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    made = quality_classifier.classify(docs, table(spark, sf_dir, "labels"), ~F.col("held_out"))
+    return made.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -119,6 +143,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_huffman": op10_huffman,
+    "op11_spelling": op11_spelling,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 #: SQL can express none of the others' methods' results on whole tables.

@@ -6,9 +6,10 @@ group every pair of tokens whose bytes overlap is a link. How many documents hol
 ids linked is counted over the whole corpus, and each document is told how its links stand
 against the counts.
 
-A text is cut before a single blank between two other characters: neither tokenizer has a
-token across such a place, so a cut is a shared end, and what is found of a part (memoised)
-adds up to what is found of the text.
+A text is cut before a single blank or line end between two visible characters and between a
+letter and a mark such as a comma. The vocabularies are asked whether a token spans such a
+place; where none does, a cut is a shared end, and what is found of a part (memoised) adds up to
+what is found of the text.
 
 Counts of pairs are looked up in two ways with one result. The most frequent ``HEAD`` pairs
 are shipped to all workers (12 bytes each); all others, each of few documents, are joined.
@@ -24,6 +25,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,13 @@ MEMO_PARTS, MEMO_CHARS = 300_000, 16 << 20
 #: Pairs that a worker counts before it passes them on.
 PAIRS_AT_ONCE = 1 << 21
 
-#: A blank at which a text may be cut: tokens lead with it, none spans it.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+#: What no token may hold in its midst for texts to be cut.
+SPANNING = re.compile(rf"\S[ \n]|\n\S|[{LETTERS}][{MARKS}]")
+#: The parts of a text: up to the next blank, line end or mark at which it may be cut.
+PART = re.compile(
+    rf"(?s).[^ \n{MARKS}]*(?:(?!(?<=\S)[ \n]\S|(?<=[{LETTERS}])[{MARKS}])[ \n{MARKS}][^ \n{MARKS}]*)*"
+)
 
 
 def byte_letters() -> dict[str, int]:
@@ -100,8 +107,8 @@ class Aligner:
             self.b_bytes[i] = bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
         # how far a text's number is shifted to sort pairs by text
         self.shift = (self.n_b * (max(self.a_bytes) + 1)).bit_length()
-        spans = (re.search(r"\S ", t.decode("utf-8", "replace")) for t in [*self.a_bytes.values(), *self.b_bytes.values()])
-        self.cut = None if any(spans) else CUT
+        own = [t.decode("utf-8", "replace") for t in [*self.a_bytes.values(), *self.b_bytes.values()]]
+        self.cuts = not any(map(SPANNING.search, own))
         self.forget()
 
     def forget(self) -> None:
@@ -111,45 +118,72 @@ class Aligner:
         self.shown: list[str] = []
         self.pairs = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
+        self.recent = np.zeros(0, np.int64)
+
+    def keep_recent(self) -> None:
+        """Forget all parts but those of the last texts."""
+        names, kept = list(self.at), self.recent.tolist()
+        sizes, place = self.numbers[self.recent, 4], self._places(self.recent)
+        self.at = {names[i]: k for k, i in enumerate(kept)}
+        self.chars = sum(map(len, self.at))
+        self.numbers, self.pairs, self.starts = self.numbers[self.recent], self.pairs[place], np.cumsum(sizes) - sizes
+        self.shown = [self.shown[i] for i in kept]
+        self.recent = np.arange(len(kept))
+
+    def _places(self, parts: np.ndarray) -> np.ndarray:
+        """Where the pairs of these parts lie, part after part."""
+        sizes = self.numbers[parts, 4]
+        return np.arange(sizes.sum()) + np.repeat(self.starts[parts] - np.cumsum(sizes) + sizes, sizes)
 
     def split(self, text: str) -> list[str]:
-        """Parts of a text, each without the blank it begins with; none of an empty one."""
+        """Parts of a text with a blank before it; none of an empty one."""
         if not text:
             return []
-        return self.cut.split(text) if self.cut else [text]
+        return PART.findall(" " + text) if self.cuts else [" " + text]
 
     def _align(self, part: str, a: list[int], b: list[int]) -> tuple[tuple[int, ...], str, list[int]]:
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        wanted = b" " + part.encode()
+        wanted = part.encode()
         if b"".join(a_parts) != wanted or b"".join(b_parts) != wanted:
             return (0, 0, 0, 0, 0), "", []
-        a_ends, b_ends = np.cumsum([*map(len, a_parts)]).tolist(), np.cumsum([*map(len, b_parts)]).tolist()
+        if len(a) == len(b) == 1:
+            return (1, 1, 1, 1, 1), f"{a[0]}|{b[0]}", [a[0] * self.n_b + b[0]]
+        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
         groups = slice_at_shared_ends(a_ends, b_ends)
-        shown = ";".join(f"{','.join(map(str, a[g[0] : g[1]]))}|{','.join(map(str, b[g[2] : g[3]]))}" for g in groups)
+        a_shown, b_shown = list(map(str, a)), list(map(str, b))
+        shown = ";".join([",".join(a_shown[g[0] : g[1]]) + "|" + ",".join(b_shown[g[2] : g[3]]) for g in groups])
         links = [a[i] * self.n_b + b[j] for g in groups for i, j in links_of(g, a_ends, b_ends)]
         return (1, len(a), len(b), len(groups), len(links)), shown, links
 
+    def b_ids(self, parts: list[str]) -> list[list[int]]:
+        """Ids as within a text: the library's own blank stands for that of a part, or is taken
+        away with a line end, which no other token joins."""
+        led = [p[0] == " " for p in parts]
+        found = self.b.encode([p[1:] if own else "\n" + p for p, own in zip(parts, led)], num_threads=1)
+        return [ids if own else ids[2:] for ids, own in zip(found, led)]
+
     def learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.at]
+        new = list(parts.difference(self.at))
         if not new:
             return
-        a = self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
+        a = self.a.encode_batch_fast(new, add_special_tokens=False)
         first = len(self.at)
-        made = [self._align(p, x.ids, y) for p, x, y in zip(new, a, b)]
-        self.at.update((p, first + i) for i, p in enumerate(new))
+        made = [self._align(p, x.ids, y) for p, x, y in zip(new, a, self.b_ids(new))]
+        self.at.update(zip(new, range(first, first + len(new))))
         self.chars += sum(map(len, new))
         sizes = np.array([len(m[2]) for m in made])
         self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(sizes) - sizes])
         self.numbers = np.concatenate([self.numbers, np.array([m[0] for m in made], np.int64)])
         self.shown += [m[1] for m in made]
-        self.pairs = np.concatenate([self.pairs, np.array([p for m in made for p in m[2]], np.int64)])
+        self.pairs = np.concatenate([self.pairs, np.fromiter(chain.from_iterable(m[2] for m in made), np.int64, int(sizes.sum()))])
 
     def many(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of each text (n_a, n_b, n_groups, n_links) and its groups; of each pair that a
         text holds: the text, the pair, and how often."""
         if len(self.at) > MEMO_PARTS or self.chars > MEMO_CHARS:
-            self.forget()
+            self.keep_recent()
+            if self.chars > MEMO_CHARS // 2:
+                self.forget()
         split = [self.split(t) for t in texts]
         self.learn(set().union(*split))
         at = [np.fromiter(map(self.at.__getitem__, s), np.int64, len(s)) for s in split]
@@ -162,8 +196,8 @@ class Aligner:
         shown = [";".join(map(self.shown.__getitem__, x.tolist())) for x in at]
         # all pairs of all parts in a row, then each pair of a text once
         sizes = self.numbers[flat, 4]
-        place = np.arange(sizes.sum()) + np.repeat(self.starts[flat] - np.cumsum(sizes) + sizes, sizes)
-        sorted_pairs = np.sort(np.repeat(owner, sizes) << self.shift | self.pairs[place])
+        self.recent = np.unique(flat)
+        sorted_pairs = np.sort(np.repeat(owner, sizes) << self.shift | self.pairs[self._places(flat)])
         new = np.ones(len(sorted_pairs), bool)
         new[1:] = sorted_pairs[1:] != sorted_pairs[:-1]
         where = np.flatnonzero(new)

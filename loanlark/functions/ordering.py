@@ -1,10 +1,9 @@
 """Cumulative sums, ranks and exact quantiles without a one-task window.
 
-A column is cut into range buckets at approximate quantiles (their number is bounded by
-``bucket_count``, never by the data). Rows are first reduced to distinct values per bucket,
-so a value that holds a third of all rows is one row; each bucket is then ordered by its
-own task, and the per-bucket totals - at most columns x buckets rows, hence the broadcast -
-carry the running sums across buckets.
+A column is cut into range buckets of bounded size (``ranges``). Rows are first reduced to
+distinct values per bucket, so a value that holds a third of all rows is one row; each bucket
+is then ordered by its own task, and the per-bucket totals - a row for each column and some
+million rows, hence the broadcast - carry the running sums across buckets.
 """
 
 from __future__ import annotations
@@ -12,59 +11,33 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 1024
+from loanlark.functions import ranges as R
+from loanlark.functions.ranges import assign_buckets, number, range_splits
 
-
-def bucket_count(spark: SparkSession) -> int:
-    """Several buckets per shuffle partition, so that hashing them leaves no task empty."""
-    return max(32, min(MAX_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def assign_buckets(
-    df: DataFrame, cols: list[str], splits: list[list[float]], outputs: list[str]
-) -> DataFrame:
-    """Bucket index of each column: ``splits[i] <= x < splits[i + 1]``; null stays null."""
-    return Bucketizer(
-        splitsArray=splits, inputCols=cols, outputCols=outputs, handleInvalid="keep"
-    ).transform(df)
-
-
-def range_splits(df: DataFrame, cols: list[str], buckets: int) -> list[list[float]]:
-    """Open-ended bucket borders at approximate quantiles, one list per column."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    found = df.agg(
-        *[F.percentile_approx(F.col(c), probabilities, 4 * buckets).alias(c) for c in cols]
-    ).first()
-    splits = []
-    for c in cols:
-        inner = sorted({b for b in found[c] or [] if math.isfinite(b)}) or [0.0]
-        splits.append([-math.inf, *inner, math.inf])
-    return splits
+#: Bits of a key that one pass of the radix selection counts.
+DIGIT = 16
+#: Rows of a bucket of hashes that one task orders.
+ROWS_PER_BUCKET = 500_000
 
 
 def long_values(
-    df: DataFrame, cols: list[str], keep: list[str] | None = None, buckets: int | None = None
+    df: DataFrame, cols: list[str], keep: list[str] | None = None, rows_per_range: int = R.ROWS_PER_RANGE
 ) -> DataFrame:
-    """(keep.., feature, bucket, value): one row per non-null cell, values as double."""
+    """(keep.., feature, bucket, value): one row per cell with a value, as double."""
     keep = keep or []
-    buckets = buckets or bucket_count(df.sparkSession)
-    base = df.select(
-        *keep, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]
-    )
+    base = df.select(*keep, *[number(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
     values = [f"v{i}" for i in range(len(cols))]
-    borders = range_splits(base, values, buckets)
+    borders = range_splits(base, values, rows_per_range=rows_per_range)
     marked = assign_buckets(base, values, borders, [f"b{i}" for i in range(len(cols))])
     # kept columns travel inside the cell: passed through as identifiers they would give the
     # two sides of a self-join different plans, and the shuffle would not be shared
     cells = [
         F.struct(
             F.col(f"b{i}").cast("int").alias("bucket"),
-            # 0.0 and -0.0 are one value
-            (F.col(f"v{i}") + F.lit(0.0)).alias("value"),
+            F.col(f"v{i}").alias("value"),
             *keep,
         ).alias(c)
         for i, c in enumerate(cols)
@@ -186,6 +159,12 @@ def quantile_ranks(probabilities: list[float]) -> Callable[[Column], list[Column
     return ranks
 
 
+def between(low: Column, high: Column, share: Column) -> Column:
+    """Linear interpolation; from minus infinity it stays there."""
+    stays = (share == 0) | (low == high) | (low == F.lit(-math.inf))
+    return F.when(stays, low).otherwise(low + (high - low) * share)
+
+
 def interpolated(found: DataFrame, probabilities: list[float]) -> DataFrame:
     """(feature, probability, value) from the ranks of ``quantile_ranks``."""
     probability = F.element_at(
@@ -201,9 +180,7 @@ def interpolated(found: DataFrame, probabilities: list[float]) -> DataFrame:
         .select(
             "feature",
             "probability",
-            (F.col("low") + (F.col("high") - F.col("low")) * (F.col("h") - F.floor("h"))).alias(
-                "value"
-            ),
+            between(F.col("low"), F.col("high"), F.col("h") - F.floor("h")).alias("value"),
         )
     )
 
@@ -211,6 +188,7 @@ def interpolated(found: DataFrame, probabilities: list[float]) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
     """(feature, probability, value): linear interpolation between order statistics.
 
+    NaN counts as missing; infinities are values, and a quantile between equal ones is theirs.
     Bucket sizes tell which value range holds each wanted rank; they reach the driver as
     one row per column and probability. The final pass keeps only values inside those
     ranges, by plain comparison in the scan stage, and shuffles no others.
@@ -218,9 +196,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float])
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], "feature string, probability double, value double")
-    base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    base = df.select(*[number(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
     values = base.columns
-    splits = range_splits(base, values, bucket_count(spark))
+    splits = range_splits(base, values)
     marks = [f"b{i}" for i in range(len(cols))]
     cells = (
         assign_buckets(base, values, splits, marks)
@@ -244,7 +222,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float])
     for j, r in enumerate(spans):
         i = int(r["feature"][1:])
         v, start, stop = F.col(f"v{i}"), splits[i][r["b0"]], splits[i][r["b1"] + 1]
-        kept.append(F.when((v >= F.lit(start)) & (v < F.lit(stop)), v + F.lit(0.0)).alias(f"s{j}"))
+        inside = (v >= F.lit(start)) & (v < F.lit(stop)) if math.isfinite(stop) else v >= F.lit(start)
+        kept.append(F.when(inside, v).alias(f"s{j}"))
         slots.append((f"s{j}", cols[i], r["p"], r["h"], r["low"], r["high"], r["first"]))
     wanted = spark.createDataFrame(slots, schema)
     if not slots:
@@ -273,21 +252,67 @@ def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float])
     ).select(
         "feature",
         "probability",
-        (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("value"),
+        between(F.col("a"), F.col("b"), F.col("h") - F.floor("h")).alias("value"),
     )
 
 
-def hash_bucket(key: Column, bits: int = 10) -> Column:
+def hash_bucket(key: Column, bits: int) -> Column:
     """Equal-width range bucket of a 64-bit hash (uniform, so no quantiles are needed)."""
     return F.shiftright(key, 64 - bits).cast("int")
 
 
+def cuts_at_ranks(
+    df: DataFrame, group: Column, key: Column, ranks: Callable[[str | None, int], list[int]]
+) -> dict[str | None, list[int | None]]:
+    """For each group the cuts that have exactly the wanted numbers of keys below them.
+
+    A radix selection: rows are counted by the leading ``DIGIT`` bits of their 64-bit key, then,
+    within the one prefix that holds a wanted rank, by the next, so nothing is ordered. A cut
+    at or beyond the end is None; rows of one key stay together, above the cut that meets them.
+    """
+    cells = df.select(group.cast("string").alias("g"), key.alias("key"))
+    # what a wanted rank is looked up in: (group, prefix so far, bits of it) -> [(position, rank within)]
+    counts = cells.groupBy("g", F.shiftright("key", 64 - DIGIT).alias("p")).count().collect()
+    sizes: dict[str | None, int] = {}
+    for r in counts:
+        sizes[r["g"]] = sizes.get(r["g"], 0) + r["count"]
+    wanted = {g: ranks(g, n) for g, n in sizes.items()}
+    cuts: dict[str | None, list[int | None]] = {g: [None] * len(w) for g, w in wanted.items()}
+    open_ones = {(g, None): [(j, rank) for j, rank in enumerate(w) if rank < sizes[g]] for g, w in wanted.items()}
+    bits = DIGIT
+    while True:
+        below: dict[tuple, int] = {}
+        following = {}
+        for r in sorted(counts, key=lambda r: r["p"]):
+            parent = (r["g"], None if bits == DIGIT else r["p"] >> DIGIT)
+            first = below.get(parent, 0)
+            below[parent] = first + r["count"]
+            for position, rank in open_ones.get(parent, []):
+                if first <= rank < first + r["count"]:
+                    if rank == first or bits >= 64:
+                        cuts[r["g"]][position] = r["p"] << (64 - bits)
+                    else:
+                        following.setdefault((r["g"], r["p"]), []).append((position, rank - first))
+        if not following:
+            return cuts
+        open_ones = following
+        prefix = F.shiftright("key", 64 - bits)
+        inside = F.lit(False)
+        # at most one prefix for each wanted rank
+        for g, p in following:
+            inside = inside | (F.col("g").eqNullSafe(F.lit(g)) & (prefix == F.lit(p)))
+        bits += DIGIT
+        counts = cells.filter(inside).groupBy("g", F.shiftright("key", 64 - bits).alias("p")).count().collect()
+
+
 def ranks_by_key(df: DataFrame, group: Column, key: str, rank: str) -> DataFrame:
     """0-based rank of every row by a uniform 64-bit key inside its group, plus group size."""
+    # buckets by the count of rows, each ordered by one task
+    bits = max(5, min(24, math.ceil(math.log2(max(1, df.count()) / ROWS_PER_BUCKET)) + 1))
     numbered = df.select(
         "*",
         group.cast("string").alias("feature"),
-        hash_bucket(F.col(key)).alias("bucket"),
+        hash_bucket(F.col(key), bits).alias("bucket"),
         F.lit(1).cast("long").alias("one"),
     )
     return (

@@ -22,7 +22,6 @@ from loanlark.functions import ordering as O
 from loanlark.operators import evaluation
 
 SCORES_PER_RANGE = 50_000
-MAX_RANGES = 65_536
 CELLS_AT_ONCE = 1_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -86,10 +85,9 @@ def resampled_metrics(
 ) -> DataFrame:
     """(iteration, auc_roc, auc_pr, precision, recall, f1); one-class resamples left out."""
     labelled = df.filter(F.col(label).isin(0, 1))
-    distinct = labelled.agg(F.approx_count_distinct(score)).first()[0]
-    ranges = max(8, min(MAX_RANGES, math.ceil(distinct / SCORES_PER_RANGE)))
+    # a range holds so many rows at most or one score, so never more scores
     counts = (
-        O.long_values(labelled, [score], [label], ranges)
+        O.long_values(labelled, [score], [label], SCORES_PER_RANGE)
         .groupBy("bucket", "value")
         .agg(
             F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")

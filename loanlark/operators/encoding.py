@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanlark.functions import ordering as O
+from loanlark.functions import ranges as R
 from loanlark.functions.skew import salted_lookup
 from loanlark.operators import shaping
 
 NULL_CLASS = "nan"
 BROADCAST_CODES = 100_000
+#: Strings at most at which the distinct values of a column are cut into ranges.
+BORDERS = 1024
 
 
 @dataclass
@@ -38,29 +41,21 @@ class EncodingState:
 def code_table(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, bucket, value, n, code): code = rank among the sorted distinct values.
 
-    Distinct values are cut into ranges at a bottom-k sample by hash (at most ``buckets``
-    strings per column), so that even a column of unbounded cardinality is ranked by many
-    tasks.
+    Distinct values are cut into ranges at a sample of them by hash, whose size comes from their
+    count, so that even a column of unbounded cardinality is ranked by many tasks.
     """
-    buckets = O.bucket_count(df.sparkSession)
     values = (
         shaping.long_text(df, cols)
         .groupBy("feature", F.coalesce("value", F.lit(NULL_CLASS)).alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    by_hash = Window.partitionBy("feature").orderBy(F.xxhash64("value"), "value")
-    borders = (
-        values.withColumn("rn", F.row_number().over(by_hash))
-        .filter(F.col("rn") < buckets)
-        .groupBy("feature")
-        .agg(F.collect_list("value").alias("borders"))
-    )
-    # buckets - 1 strings per column
+    borders = R.text_borders(values, BORDERS)
+    # BORDERS strings per column
     marked = values.join(F.broadcast(borders), "feature").select(
         "feature",
         "value",
         "n",
-        F.size(F.filter("borders", lambda b: b <= F.col("value"))).alias("bucket"),
+        R.text_bucket(F.col("value"), F.col("borders")).alias("bucket"),
         F.lit(1).cast("long").alias("one"),
     )
     return O.running_sums(marked, "value", ["one"]).select(

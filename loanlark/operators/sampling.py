@@ -1,7 +1,8 @@
 """Stratified splits and folds.
 
-Rows are ordered by a hash of their id. Only the cut keys - one per class and cut - are
-looked up; the rows themselves are then marked by comparison, without a shuffle.
+Rows stand in the order of a hash of their id, but are never sorted. Only the cut keys - one
+per class and cut - are selected, by counts of the hash's leading bits; the rows themselves are
+then marked by comparison, without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,20 +21,6 @@ def id_key(key: str, seed: int) -> Column:
     return F.xxhash64(F.col(key).cast("long"), F.lit(seed).cast("long"))
 
 
-def _cut_keys(df: DataFrame, label: str, key: Column, ranks) -> dict[str, list[int]]:
-    """Key at each wanted rank per class; classes x cuts rows reach the driver."""
-    cells = df.select(
-        F.col(label).cast("string").alias("feature"),
-        O.hash_bucket(key).alias("bucket"),
-        key.alias("value"),
-        F.lit(1).cast("long").alias("n"),
-    )
-    found: dict[str, dict[int, int]] = {}
-    for r in O.values_at_ranks(cells, ranks).collect():
-        found.setdefault(r["feature"], {})[r["position"]] = r["value"]
-    return {c: [by_pos[p] for p in sorted(by_pos)] for c, by_pos in found.items()}
-
-
 def _train_sizes(class_sizes: dict[str, int], test_size: float) -> dict[str, int]:
     """Rows per class in the training part: proportional, largest remainders rounded up."""
     total = sum(class_sizes.values())
@@ -58,16 +45,12 @@ def stratified_split(
     if None in classes:
         raise ValueError(f"{classes[None]} rows have no {label}: drop them before the split")
     train = _train_sizes(classes, test_size)
-    wanted = F.lit(None).cast("long")
-    cells_label = F.col("feature")
-    for c, n in train.items():
-        wanted = F.when(cells_label == c, F.lit(n).cast("long")).otherwise(wanted)
-    cuts = _cut_keys(df, label, order, lambda total: [wanted])
+    cuts = O.cuts_at_ranks(df, F.col(label), order, lambda c, total: [train[c]])
     is_train = F.lit(False)
     for c in classes:
         mine = F.col(label).cast("string") == c
-        # no cut key: the whole class is on the training side
-        inside = (order < F.lit(cuts[c][0])) if c in cuts else F.lit(True)
+        # no cut: the whole class is on the training side
+        inside = (order < F.lit(cuts[c][0])) if cuts[c][0] is not None else F.lit(True)
         is_train = F.when(mine, inside).otherwise(is_train)
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
@@ -77,13 +60,15 @@ def stratified_folds(
 ) -> DataFrame:
     """Add ``fold`` (0..folds-1); the folds of a class differ by at most one row."""
     order = id_key(key, seed)
-    cuts = _cut_keys(
-        df, label, order, lambda total: [F.floor(total * j / folds) for j in range(1, folds)]
+    cuts = O.cuts_at_ranks(
+        df, F.col(label), order, lambda c, total: [total * j // folds for j in range(1, folds)]
     )
     fold = F.lit(0)
     for c, keys in cuts.items():
-        passed = F.lit(0)
-        for k in keys:
-            passed = passed + (order >= F.lit(k)).cast("int")
-        fold = F.when(F.col(label).cast("string") == c, passed).otherwise(fold)
+        if c is not None:
+            passed = F.lit(0)
+            for k in keys:
+                if k is not None:
+                    passed = passed + (order >= F.lit(k)).cast("int")
+            fold = F.when(F.col(label).cast("string") == c, passed).otherwise(fold)
     return df.withColumn("fold", fold.cast("int"))

@@ -1,25 +1,33 @@
-"""Exact k nearest neighbours as a pruned, blocked join.
-
-Rows are assigned to the nearest of a few pivots. For every cell of queries the triangle
-inequality bounds how far a k-th neighbour can be, and a candidate travels only to cells
-within that bound. Inside a cell both sides are split into blocks of bounded size, a task
-compares one pair of blocks and returns k rows per query, and a last ranking merges them.
-Nothing is approximated: a candidate is skipped only if it cannot be among the k nearest.
+"""Exact k nearest neighbours over a tree of balls, block by block.
+
+Candidates are placed in the leaves of a ball tree once and stored; every leaf has a centre, a
+radius and a size. A query first meets its own leaf, which bounds how far its k-th neighbour
+can be, and then only leaves whose ball reaches into that bound. Leaves and the queries sent
+to them are split into blocks of bounded size, a task compares one pair of blocks and returns
+at most k rows per query, and a last ranking merges them. Nothing is approximated: a candidate
+is skipped only if it cannot be among the k nearest.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlark import settings as S
+from loanlark.functions.balls import BallTree, distances, squared
 from loanlark.functions.skew import salted_lookup
+from loanlark.session import through_storage
 
-MAX_PIVOTS = 128
-ROWS_PER_PIVOT = 2_000
+ROWS_PER_LEAF = 2_048
+SAMPLE_PER_LEAF = 16
+#: Bytes of the sample that the tree is built from; larger tables have larger leaves.
+TREE_BYTES = 64 << 20
 BLOCK_ROWS = 4_096
 QUERIES_AT_ONCE = 256
 
@@ -28,24 +36,8 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _distances_to(pivots: np.ndarray):
-    @F.pandas_udf("array<double>")
-    def distances(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        points = _matrix(vectors)
-        found = np.stack([np.sqrt(((points - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
-        return pd.Series(list(found))
-
-    return distances
-
-
-def _with_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
-    far = df.withColumn("far", _distances_to(pivots)("vec"))
-    nearest = F.array_min("far")
-    return far.withColumns(
-        {"near": nearest, "cell": (F.array_position("far", nearest) - 1).cast("int")}
-    )
+def _points(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _block_nearest(k: int):
@@ -60,52 +52,22 @@ def _block_nearest(k: int):
         for start in range(0, len(queries), QUERIES_AT_ONCE):
             part = queries.iloc[start : start + QUERIES_AT_ONCE]
             qs, qids = _matrix(part["vec"]), part["id"].to_numpy(np.int64)
-            qnorms = (qs**2).sum(axis=1)
-            rough = qnorms[:, None] + norms[None, :] - 2.0 * (qs @ points.T)
+            far = part["far"].to_numpy(np.float64)
+            rough = squared(qs, points)
             keep = min(k, len(ids)) - 1
             # the product form rounds; whatever could still be among the k is measured exactly
-            limit = np.partition(rough, keep, axis=1)[:, keep] + 1e-9 * (qnorms + norms.max())
+            slack = 1e-9 * ((qs**2).sum(axis=1) + norms.max())
+            limit = np.minimum(np.partition(rough, keep, axis=1)[:, keep], far**2) + slack
             for i, qid in enumerate(qids):
                 picked = np.flatnonzero(rough[i] <= limit[i])
                 exact = np.sqrt(((points[picked] - qs[i]) ** 2).sum(axis=1))
                 best = np.lexsort((ids[picked], exact))[:k]
-                out.append(
-                    pd.DataFrame(
-                        {"id": qid, "neighbour": ids[picked][best], "distance": exact[best]}
-                    )
-                )
+                out.append(pd.DataFrame({"id": qid, "neighbour": ids[picked][best], "distance": exact[best]}))
         return pd.concat(out)
 
     return nearest
 
 
-def _cell_bounds(queries: DataFrame, candidates: DataFrame, pivots: np.ndarray, k: int) -> dict:
-    """Per query cell: (rows, largest candidate-to-pivot distance that can still matter).
-
-    Reads back one row per query cell and k distances per candidate cell.
-    """
-    radius = {
-        r["cell"]: (r["n"], r["u"])
-        for r in queries.groupBy("cell")
-        .agg(F.count("*").alias("n"), F.max("near").alias("u"))
-        .collect()
-    }
-    inner = Window.partitionBy("cell").orderBy("near")
-    closest = (
-        candidates.select("cell", "near")
-        .withColumn("rn", F.row_number().over(inner))
-        .filter(F.col("rn") <= k)
-        .collect()
-    )
-    between = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
-    bounds = {}
-    for cell, (n, u) in radius.items():
-        reach = sorted(between[cell, r["cell"]] + u + r["near"] for r in closest)
-        theta = reach[k - 1] if len(reach) >= k else math.inf
-        bounds[cell] = (n, (u + theta) * (1 + 1e-9) + 1e-9)
-    return bounds
-
-
 def nearest_neighbours(
     queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int
 ) -> DataFrame:
@@ -144,51 +106,108 @@ def _pairs_of(df: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def _nearest_to_vectors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """(id, neighbour, distance): for each query the k nearest candidates, itself included."""
-    size = candidates.count()
-    n_pivots = max(1, min(MAX_PIVOTS, size // ROWS_PER_PIVOT))
-    chosen = candidates.orderBy(F.xxhash64("id")).limit(n_pivots).select("vec").collect()
-    pivots = np.array([r[0] for r in chosen], dtype=np.float64)
-    left, right = _with_cell(queries, pivots), _with_cell(candidates, pivots)
-    bounds = _cell_bounds(left, right, pivots, k)
-    reach = F.array(
-        *[
-            F.when(
-                F.element_at("far", cell + 1) <= F.lit(float(limit)), F.lit(cell).cast("int")
-            )
-            for cell, (_, limit) in sorted(bounds.items())
-        ]
-    )
-    sent = right.select("id", "vec", F.explode(F.array_compact(reach)).alias("cell"))
-    received = {r["cell"]: r["count"] for r in sent.groupBy("cell").count().collect()}
-
-    def blocks(rows: dict):
-        """Block count of a cell as an expression over at most MAX_PIVOTS constants."""
-        table = [max(1, math.ceil(rows.get(c, 0) / BLOCK_ROWS)) for c in range(n_pivots)]
-        return F.element_at(F.array(*[F.lit(b) for b in table]), F.col("cell") + 1)
-
-    q_blocks = blocks({c: n for c, (n, _) in bounds.items()})
-    c_blocks = blocks(received)
+def plant(candidates: DataFrame, size: int, seed: int = S.SEED) -> BallTree:
+    """A tree for a counted table, from a sample by hash of at most ``TREE_BYTES``."""
+    first = candidates.select("vec").first()
+    room = TREE_BYTES // (8 * max(1, len(first[0])) * SAMPLE_PER_LEAF)
+    leaves = max(1, min(math.ceil(size / ROWS_PER_LEAF), room))
+    if leaves == 1:
+        return BallTree(np.array([first[0]], np.float64), 1, seed)
+    share = min(1.0, SAMPLE_PER_LEAF * leaves / size)
+    drawn = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 11) < F.lit(int(share * 2**53))
+    sample = candidates.filter(drawn).select("vec").toArrow()["vec"].combine_chunks()
+    return BallTree(_points(sample) if len(sample) else np.array([first[0]], np.float64), leaves, seed)
+
+
+def placed(rows: DataFrame, tree: BallTree) -> DataFrame:
+    """(leaf, id, vec, away): the leaf of each row and how far its centre is."""
+    ship = rows.sparkSession.sparkContext.broadcast(tree)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                points = _points(batch.column("vec"))
+                leaves = ship.value.leaves_of(points)
+                columns = [pa.array(leaves), batch.column("id"), batch.column("vec"), pa.array(ship.value.away(points, leaves))]
+                yield pa.RecordBatch.from_arrays(columns, names=["leaf", "id", "vec", "away"])
+
+    return rows.select("id", "vec").mapInArrow(run, "leaf int, id long, vec array<double>, away double")
+
+
+def leaf_table(rows: DataFrame, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and radius of each leaf; one row a leaf reaches the driver."""
+    sizes, radii = np.zeros(leaves, np.int64), np.zeros(leaves)
+    for r in rows.groupBy("leaf").agg(F.count("*").alias("n"), F.max("away").alias("r")).collect():
+        sizes[r.leaf], radii[r.leaf] = r.n, r.r
+    return sizes, radii
+
+
+def sent_on(asked: DataFrame, tree: BallTree, sizes: np.ndarray, radii: np.ndarray, k: int) -> DataFrame:
+    """(leaf, id, vec, far): the queries (leaf, id, vec, far) once for each other leaf whose ball
+    comes as near as ``far``, the k-th distance known; where that is infinite, the leaves' sizes
+    and far ends bound it."""
+    ship = asked.sparkSession.sparkContext.broadcast((tree.centres, sizes, radii))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, sizes, radii = ship.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points, own = _points(batch.column("vec")), batch.column("leaf").to_numpy()
+            far = batch.column("far").to_numpy(zero_copy_only=False).copy()
+            between = distances(points, centres)
+            for i in np.flatnonzero(np.isinf(far)):
+                reach = between[i] + radii
+                order = np.argsort(reach)
+                enough = np.searchsorted(np.cumsum(sizes[order]), k)
+                if enough < len(order):
+                    far[i] = reach[order[enough]] * (1 + 1e-9) + 1e-9
+            needed = (between - radii <= (far * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
+            needed[np.arange(len(own)), own] = False
+            row, leaf = np.nonzero(needed)
+            take = pa.array(row)
+            columns = [pa.array(leaf.astype(np.int32)), batch.column("id").take(take), batch.column("vec").take(take), pa.array(far[row])]
+            yield pa.RecordBatch.from_arrays(columns, names=["leaf", "id", "vec", "far"])
+
+    return asked.select("leaf", "id", "vec", "far").mapInArrow(run, "leaf int, id long, vec array<double>, far double")
+
+
+def _compared(asked: DataFrame, offered: DataFrame, asked_sizes: dict[int, int], sizes: np.ndarray, k: int) -> DataFrame:
+    """(id, neighbour, distance): up to k rows for each query and block of its leaf."""
+    blocks = lambda n: max(1, math.ceil(n / BLOCK_ROWS))
+    table = [(leaf, blocks(n), blocks(int(sizes[leaf]))) for leaf, n in sorted(asked_sizes.items())]
+    # one row a leaf
+    parts = F.broadcast(asked.sparkSession.createDataFrame(table, "leaf int, qs int, cs int"))
     own = F.xxhash64("id", F.lit(1))
-    asked = left.select("id", "vec", "cell").withColumns(
-        {
-            "qb": F.pmod(own, q_blocks).cast("int"),
-            "cb": F.explode(F.sequence(F.lit(0), c_blocks - 1)),
-        }
-    )
-    offered = sent.withColumns(
-        {
-            "cb": F.pmod(own, c_blocks).cast("int"),
-            "qb": F.explode(F.sequence(F.lit(0), q_blocks - 1)),
-        }
+    left = asked.join(parts, "leaf").select(
+        "leaf", "id", "vec", "far", F.pmod(own, F.col("qs")).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("cs") - 1)).alias("cb"),
     )
-    pairs = (
-        asked.groupBy("cell", "qb", "cb")
-        .cogroup(offered.groupBy("cell", "qb", "cb"))
-        .applyInPandas(_block_nearest(k), "id long, neighbour long, distance double")
+    right = offered.join(parts, "leaf").select(
+        "leaf", "id", "vec", F.pmod(own, F.col("cs")).cast("int").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"),
     )
+    keys = ["leaf", "qb", "cb"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_nearest(k), "id long, neighbour long, distance double")
+
+
+def _nearest_to_vectors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(id, neighbour, distance): for each query the k nearest candidates, itself included."""
+    size = candidates.count()
+    if not size:
+        return queries.sparkSession.createDataFrame([], "id long, neighbour long, distance double")
+    tree = plant(candidates, size)
+    leaves = len(tree.centres)
+    offered = through_storage(placed(candidates, tree), "leaves")
+    asked = through_storage(placed(queries, tree), "asked")
+    sizes, radii = leaf_table(offered, leaves)
+    asked_sizes = {i: int(n) for i, n in enumerate(leaf_table(asked, leaves)[0]) if n}
+    first = _compared(asked.withColumn("far", F.lit(math.inf)), offered, asked_sizes, sizes, k)
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return (
-        pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
-    )
+    if leaves > 1:
+        first = through_storage(first, "first")
+        known = first.groupBy("id").agg(F.array_sort(F.collect_list("distance")).alias("d"))
+        far = F.coalesce(F.try_element_at("d", F.lit(k)), F.lit(math.inf))
+        bounded = asked.join(known, "id", "left").select("leaf", "id", "vec", far.alias("far"))
+        sent = through_storage(sent_on(bounded, tree, sizes, radii, k), "sent")
+        sent_sizes = {r["leaf"]: r["count"] for r in sent.groupBy("leaf").count().collect()}
+        first = first.unionByName(_compared(sent, offered, sent_sizes, sizes, k))
+    return first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")

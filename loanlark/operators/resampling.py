@@ -11,6 +11,7 @@ from loanlark.functions.expr import hashed_uniform
 from loanlark.functions.skew import salted_lookup
 from loanlark.operators import sampling
 from loanlark.operators.neighbours import nearest_neighbours
+from loanlark.session import through_storage
 
 COPIES_AT_ONCE = 10_000
 
@@ -129,7 +130,8 @@ def adasyn(
     _check_minority(n, k)
     wanted = rows_to_make(majority, n, ratio)
     minority = _minority(df, label, key, vector)
-    weights = adasyn_weights(df, label, key, vector, k)
+    # read twice: stored, so that the search behind it runs once
+    weights = through_storage(adasyn_weights(df, label, key, vector, k), "weights")
     total = weights.agg(F.sum("majority_share")).first()[0]
     if not total:
         raise ValueError("no minority row has a neighbour of the other class")

@@ -48,23 +48,23 @@ def check(got, want):
 
 @pytest.mark.parametrize("pivot_rows,block", [(2000, 4096), (20, 4096), (20, 16)])
 def test_neighbours_are_exact(frame, points, monkeypatch, pivot_rows, block):
-    monkeypatch.setattr(neighbours, "ROWS_PER_PIVOT", pivot_rows)
+    monkeypatch.setattr(neighbours, "ROWS_PER_LEAF", pivot_rows)
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
     minority = [p for p in points if p[1] == 1]
     near = neighbours.nearest_neighbours(frame.filter("y = 1"), frame, "id", "v", 5)
     check(near, brute(minority, points, 5))
 
 
-def test_pivots_prune_candidates(frame, points, monkeypatch):
-    monkeypatch.setattr(neighbours, "ROWS_PER_PIVOT", 20)
-    pivots = np.array([points[i][2] for i in range(6)])
+def test_leaves_prune_candidates(frame, points, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROWS_PER_LEAF", 20)
     rows = neighbours._pairs_of(frame, "id", "v")
-    left = neighbours._with_cell(neighbours._pairs_of(frame.filter("y = 1"), "id", "v"), pivots)
-    right = neighbours._with_cell(rows, pivots)
-    bounds = neighbours._cell_bounds(left, right, pivots, 5)
-    far = [r["far"] for r in right.collect()]
-    sent = sum(f[c] <= limit for f in far for c, (_, limit) in bounds.items())
-    assert sent < 0.5 * len(far) * len(bounds)
+    tree = neighbours.plant(rows, len(points))
+    sizes, radii = neighbours.leaf_table(neighbours.placed(rows, tree), len(tree.centres))
+    asked = neighbours.placed(neighbours._pairs_of(frame.filter("y = 1"), "id", "v"), tree)
+    # the distances of the k-th neighbours are not known: sizes and far ends of leaves bound them
+    sent = neighbours.sent_on(asked.selectExpr("*", "double('inf') as far"), tree, sizes, radii, 5)
+    assert len(tree.centres) > 5
+    assert sent.count() < 0.5 * asked.count() * len(tree.centres)
 
 
 def test_smote_rows_lie_between_parents(frame, points):
@@ -119,3 +119,53 @@ def test_impossible_requests_are_refused(frame):
         resampling.smote(frame, "y", "id", "v", ratio=0.01)
     with pytest.raises(ValueError):
         resampling.smote(frame.filter("id in (0, 1, 2)"), "y", "id", "v")
+
+
+@pytest.mark.parametrize("dims", [4, 64])
+def test_neighbours_over_many_leaves(spark, monkeypatch, dims):
+    """Exact in few and in many dimensions, and most pairs are never compared where groups exist."""
+    monkeypatch.setattr(neighbours, "ROWS_PER_LEAF", 60)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 100)
+    draw = np.random.default_rng(dims)
+    centres = draw.normal(size=(25, dims)) * 12
+    points = centres[draw.integers(0, 25, 1500)] + draw.normal(size=(1500, dims))
+    points[::10] = points[0]  # copies
+    points[3] = 500.0  # far from all
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vec array<double>")
+    got = neighbours.nearest_neighbours(df, df, "id", "vec", 5).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        found.setdefault(r.id, []).append((r.neighbour, round(r.distance, 6)))
+    assert len(found) == 1500
+    for i in range(1500):
+        d = np.sqrt(((points - points[i]) ** 2).sum(axis=1))
+        wanted = [j for j in np.lexsort((np.arange(1500), d)) if j != i][:5]
+        assert [j for j, _ in found[i]] == wanted
+        assert np.allclose([x for _, x in found[i]], d[wanted], atol=1e-6)
+
+    tree = neighbours.plant(df, 1500)
+    rows = neighbours.placed(df, tree)
+    sizes, radii = neighbours.leaf_table(rows, len(tree.centres))
+    assert len(tree.centres) > 10 and sizes.sum() == 1500
+    own = np.array([sorted(np.sqrt(((points - p) ** 2).sum(axis=1)))[5] for p in points])
+    asked = rows.join(spark.createDataFrame([(i, float(x)) for i, x in enumerate(own)], "id long, far double"), "id")
+    sent = {r.leaf: r["count"] for r in neighbours.sent_on(asked, tree, sizes, radii, 6).groupBy("leaf").count().collect()}
+    compared = int((sizes**2).sum()) + sum(n * int(sizes[leaf]) for leaf, n in sent.items())
+    assert compared < 0.35 * 1500**2
+
+
+def test_neighbours_of_few_and_none(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 2.0])], "id long, vec array<double>")
+    got = neighbours.nearest_neighbours(df, df, "id", "vec", 5).collect()
+    assert sorted((r.id, r["rank"], r.neighbour, r.distance) for r in got) == [(1, 1, 2, 1.0), (2, 1, 1, 1.0)]
+    assert neighbours.nearest_neighbours(df, df.limit(0), "id", "vec", 5).collect() == []
+
+
+def test_adasyn_searches_twice(spark, monkeypatch):
+    calls = []
+    search = neighbours._nearest_to_vectors
+    monkeypatch.setattr(neighbours, "_nearest_to_vectors", lambda *a: calls.append(1) or search(*a))
+    draw = np.random.default_rng(5)
+    rows = [(i, int(i % 9 == 0), draw.normal(size=3).tolist()) for i in range(300)]
+    made = resampling.adasyn(spark.createDataFrame(rows, "id long, y int, vec array<double>"), "y", "id", "vec")
+    assert made.count() > 0 and len(calls) == 2

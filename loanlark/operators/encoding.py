@@ -15,9 +15,13 @@ from loanlark.functions import ordering as O
 from loanlark.functions import ranges as R
 from loanlark.functions.skew import salted_lookup
 from loanlark.operators import shaping
+from loanlark.session import through_storage
 
 NULL_CLASS = "nan"
-BROADCAST_CODES = 100_000
+#: All dictionaries of a plan that are broadcast, as counted: bytes of values and of what a
+#: row takes beside.
+BROADCAST_BYTES = 64 << 20
+BYTES_PER_CODE = 64
 #: Strings at most at which the distinct values of a column are cut into ranges.
 BORDERS = 1024
 
@@ -71,21 +75,22 @@ def label_codes(df: DataFrame, cols: list[str]) -> DataFrame:
 def fit_encoding(df: DataFrame, text: list[str] | None = None) -> EncodingState:
     """Codes of the text columns, then medians of every numeric column, codes included.
 
-    The median of a code column comes from the value counts; the rows are not encoded.
+    The median of a code column comes from the value counts; the rows are not encoded. The
+    state is stored, so that applying it does not fit again.
     """
     text = shaping.text_columns(df) if text is None else text
-    medians = median_fit(df, shaping.numeric_columns(df))
+    medians = through_storage(median_fit(df, shaping.numeric_columns(df)), "medians")
     if not text:
         empty = df.sparkSession.createDataFrame([], "feature string, value string, code long")
         return EncodingState(empty, medians)
-    table = code_table(df, text)
+    table = through_storage(code_table(df, text), "codes")
     ranks = O.values_at_ranks(
         table.select("feature", "bucket", F.col("code").cast("double").alias("value"), "n"),
         O.quantile_ranks([0.5]),
     )
     of_codes = O.interpolated(ranks, [0.5]).select("feature", "value")
     return EncodingState(
-        table.select("feature", "value", "code"), medians.unionByName(of_codes)
+        table.select("feature", "value", "code"), medians.unionByName(through_storage(of_codes, "code-medians"))
     )
 
 
@@ -94,32 +99,58 @@ def median_fit(df: DataFrame, cols: list[str]) -> DataFrame:
     return O.exact_quantiles(df, cols, [0.5]).select("feature", "value")
 
 
-def encode(df: DataFrame, codes: DataFrame, text: list[str]) -> DataFrame:
+def _broadcast_features(codes: DataFrame, limit: int) -> tuple[set[str], set[str]]:
+    """Fitted columns whose dictionaries fit under one byte limit together, and all others.
+
+    The smallest go first; a row per column reaches the driver.
+    """
+    size = F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + BYTES_PER_CODE)
+    sizes = {r["feature"]: r["bytes"] for r in codes.groupBy("feature").agg(size.alias("bytes")).collect()}
+    small, total = set(), 0
+    for c in sorted(sizes, key=lambda c: (sizes[c], c)):
+        if total + sizes[c] <= limit:
+            small.add(c)
+            total += sizes[c]
+    return small, set(sizes) - small
+
+
+def _coded_by_shuffle(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:
+    """Replace columns of large dictionaries: their cells travel as (row, feature, value), the
+    full rows once, however many columns there are."""
+    rid = "_row"
+    base = through_storage(df.withColumn(rid, F.monotonically_increasing_id()), "rows")
+    cells = shaping.long_text(base, cols, [rid]).withColumn("value", F.coalesce("value", F.lit(NULL_CLASS)))
+    found = salted_lookup(cells, codes.filter(F.col("feature").isin(cols)), ["feature", "value"], [rid])
+    by_row = found.groupBy(rid).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"_code_{i}") for i, c in enumerate(cols)]
+    )
+    joined = base.join(by_row, rid, "left")
+    return joined.withColumns({c: F.coalesce(f"_code_{i}", F.lit(0)).cast("double") for i, c in enumerate(cols)}).drop(
+        rid, *[f"_code_{i}" for i in range(len(cols))]
+    )
+
+
+def encode(df: DataFrame, codes: DataFrame, text: list[str], broadcast_bytes: int | None = None) -> DataFrame:
     """Replace text columns by codes; an unseen value, or a column never fitted, gives 0.
 
-    A dictionary is broadcast only when its counted size allows it. A larger one is
-    joined by shuffle with the rows of each value spread over several keys.
+    Dictionaries are broadcast while all together fit under ``broadcast_bytes``
+    (``BROADCAST_BYTES`` by default). The cells of
+    larger ones are joined by shuffle, values that many rows hold spread over several tasks.
     """
     if not text:
         return df
-    sizes = {r["feature"]: r["count"] for r in codes.groupBy("feature").count().collect()}
-    order = df.columns
-    out = df
+    small, large = _broadcast_features(codes, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes)
+    order, out = df.columns, df
     for c in text:
-        if c not in sizes:
+        if c not in small and c not in large:
             out = out.withColumn(c, F.lit(0.0))
-            continue
-        entry = codes.filter(F.col("feature") == c).select(
-            F.col("value").alias("_value"), F.col("code").alias("_code")
-        )
-        out = out.withColumn("_value", F.coalesce(F.col(c), F.lit(NULL_CLASS)))
-        if sizes[c] <= BROADCAST_CODES:
-            out = out.join(F.broadcast(entry), "_value", "left")
-        else:
-            out = salted_lookup(out, entry, ["_value"], order, "left")
-        out = out.withColumn(c, F.coalesce("_code", F.lit(0)).cast("double")).drop(
-            "_value", "_code"
-        )
+        elif c in small:
+            entry = codes.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+            out = out.withColumn("_value", F.coalesce(F.col(c), F.lit(NULL_CLASS))).join(F.broadcast(entry), "_value", "left")
+            out = out.withColumn(c, F.coalesce("_code", F.lit(0)).cast("double")).drop("_value", "_code")
+    wide = [c for c in text if c in large]
+    if wide:
+        out = _coded_by_shuffle(out, codes, wide)
     return out.select(*order)
 
 

@@ -34,6 +34,7 @@ def _interpolated(picks: DataFrame, minority: DataFrame) -> DataFrame:
 
     A row can be the neighbour of most others, so that side of the join is salted.
     """
+    picks = through_storage(picks, "picks")
     parents = minority.select(F.col("id").alias("parent"), F.col("vec").alias("a"))
     others = minority.select(F.col("id").alias("neighbour"), F.col("vec").alias("b"))
     moved = F.zip_with("a", "b", lambda a, b: a + F.col("step") * (b - a))
@@ -70,7 +71,7 @@ def smote(
     majority, n = class_sizes(df, label)
     _check_minority(n, k)
     minority = _minority(df, label, key, vector)
-    near = nearest_neighbours(minority, minority, "id", "vec", k)
+    near = through_storage(nearest_neighbours(minority, minority, "id", "vec", k), "near")
     keyed = minority.select("id", sampling.id_key("id", seed).alias("key"))
     numbered = O.ranks_by_key(keyed, F.lit("1"), "key", "position").select("id", "position")
 
@@ -107,7 +108,7 @@ def adasyn_weights(
         F.col(vector).cast("array<double>").alias("vec"),
         F.col(label).cast("int").alias("y"),
     )
-    near = nearest_neighbours(rows.filter("y = 1"), rows, "id", "vec", k)
+    near = through_storage(nearest_neighbours(rows.filter("y = 1"), rows, "id", "vec", k), "near")
     classes = rows.select(F.col("id").alias("neighbour"), "y")
     return (
         salted_lookup(near, classes, ["neighbour"], ["id"])
@@ -135,7 +136,7 @@ def adasyn(
     total = weights.agg(F.sum("majority_share")).first()[0]
     if not total:
         raise ValueError("no minority row has a neighbour of the other class")
-    near = nearest_neighbours(minority, minority, "id", "vec", k)
+    near = through_storage(nearest_neighbours(minority, minority, "id", "vec", k), "near")
     copies = weights.select(
         F.col("id").alias("parent"),
         F.bround(F.col("majority_share") / total * wanted).cast("long").alias("copies"),

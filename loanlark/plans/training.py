@@ -112,9 +112,6 @@ def fitted(spark: SparkSession, sf_dir: str) -> Trained:
         wide = shaping.drop_sparse_columns(wide)
         inputs = wide.drop(S.ID, S.TARGET)
         state = encoding.fit_encoding(inputs)
-        state = encoding.EncodingState(
-            through_storage(state.codes, "codes"), through_storage(state.medians, "medians")
-        )
         encoded = through_storage(
             encoding.apply_encoding(wide, state, (S.ID, S.TARGET)), "encoded"
         )

@@ -130,7 +130,7 @@ def test_large_dictionaries_are_salted(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"v{i % 7}") for i in range(50)], "id long, c string")
     state = encoding.fit_encoding(df.select("c"))
     want = sorted(values(encoding.encode(df, state.codes, ["c"])))
-    monkeypatch.setattr(encoding, "BROADCAST_CODES", 1)
+    monkeypatch.setattr(encoding, "BROADCAST_BYTES", 1)
     assert sorted(values(encoding.encode(df, state.codes, ["c"]))) == want
 
 

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlark import settings as S
+from loanlark.functions import ordering as O
+from loanlark.functions import ranges as R
 from loanlark.operators import sampling
+from loanlark.session import shared_dir, through_storage
 
 # Learner parameters that MLlib's boosted trees share with the searched ones.
 PARAM_NAMES = {
@@ -53,25 +58,55 @@ def mapped_params(params: dict) -> dict:
     return out
 
 
+def best_prefix(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(how many first trees have the least loss, whether the loss then stayed above it for
+    ``patience`` trees); what comes after such a stretch is not looked at."""
+    least, at = math.inf, 0
+    for n, loss in enumerate(losses, 1):
+        if loss < least:
+            least, at = loss, n
+        elif n - at >= patience:
+            return at, True
+    return max(at, 1), False
+
+
 def fit_trees(
     train: DataFrame,
     validation: DataFrame | None = None,
     params: dict | None = None,
     label: str = S.TARGET,
     array: str = "x",
+    patience: int = S.EARLY_STOPPING_ROUNDS,
 ) -> GBTClassificationModel:
-    """Fit; with validation rows, boosting stops when they no longer improve."""
+    """Fit; with validation rows, as many trees as have the least log loss on them before it
+    fails to fall for ``patience`` trees.
+
+    Boosting is staged: the first ``2 * patience`` trees, then twice as many while the loss still
+    falls, one pass over the validation rows giving the loss after every tree of a stage. The
+    best first trees are then fitted again: the seed of a tree depends on its number only, so
+    they are the same trees.
+    """
+    session = train.sparkSession
+    if session.sparkContext.getCheckpointDir() is None:
+        # MLlib then cuts the growing lineage of the residuals every few trees
+        session.sparkContext.setCheckpointDir(shared_dir(session))
 
-    def part(df: DataFrame, held_out: bool) -> DataFrame:
+    def rows(df: DataFrame) -> DataFrame:
         return with_vector(
             df.select(F.col(label).cast("double").alias(label), F.col(array).alias("x"))
-        ).select(label, "features", F.lit(held_out).alias("held_out"))
+        ).select(label, "features")
 
-    gbt = learner(params, label)
+    gbt, given = learner(params, label), rows(train)
     if validation is None:
-        return gbt.fit(part(train, False))
-    rows = part(train, False).unionByName(part(validation, True))
-    return gbt.setValidationIndicatorCol("held_out").fit(rows)
+        return gbt.fit(given)
+    held_out, most = rows(validation), gbt.getMaxIter()
+    trees = min(most, max(1, 2 * patience))
+    while True:
+        model = gbt.copy({gbt.maxIter: trees}).fit(given)
+        best, stopped = best_prefix(list(model.evaluateEachIteration(held_out)), patience)
+        if stopped or trees == most:
+            return model if best == trees else gbt.copy({gbt.maxIter: best}).fit(given)
+        trees = min(most, 2 * trees)
 
 
 def raw_scores(
@@ -111,24 +146,36 @@ def search(
     folds: int = S.SEARCH_FOLDS,
     parallelism: int = 2,
     seed: int = S.SEED,
+    resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[tuple[dict, float]]:
-    """(trial, mean AUC over stratified folds), best first; one result per trial."""
-    split = sampling.stratified_folds(df, label, key, folds, seed)
-    rows = with_vector(
-        split.select(F.col(label).cast("double").alias(label), F.col(array).alias("x"), "fold")
-    ).select(label, "features", "fold")
-    gbt = learner(label=label)
-    maps = [{gbt.getParam(k): v for k, v in mapped_params(t).items()} for t in trials]
-    cv = CrossValidator(
-        estimator=gbt,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    scores = cv.fit(rows).avgMetrics
-    return sorted(zip(trials, scores), key=lambda r: -r[1])
+    """(trial, mean AUC over stratified folds), best first; one result per trial.
+
+    The folds are stored once and shared by all trials. With ``resample``, which maps rows of
+    (key, label, array) to rows of (label, array), the training part of every fold is resampled
+    by itself and stored, so no synthetic row descends from a row it is judged on; without,
+    the rows are taken as given. Only folds are fitted, never all rows.
+    """
+    split = sampling.stratified_folds(df.select(key, label, array), label, key, folds, seed)
+    split = through_storage(split, "folds")
+    parts = []
+    for fold in range(folds):
+        train = split.filter(F.col("fold") != fold).drop("fold")
+        if resample is not None:
+            train = through_storage(resample(train), f"fold-{fold}")
+        parts.append((train, split.filter(F.col("fold") == fold)))
+    judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="raw_probability", numBins=0)
+
+    def auc(task: tuple[dict, int]) -> float:
+        params, fold = task
+        train, held_out = parts[fold]
+        scored = raw_scores(fit_trees(train, None, params, label, array), held_out, array)
+        return judge.evaluate(scored.select(F.col(label).cast("double").alias(label), "raw_probability"))
+
+    tasks = [(t, fold) for t in trials for fold in range(folds)]
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        found = list(pool.map(auc, tasks))
+    means = [sum(found[i * folds : (i + 1) * folds]) / folds for i in range(len(trials))]
+    return sorted(zip(trials, means), key=lambda r: -r[1])
 
 
 def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -139,13 +186,64 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def fit_isotonic(df: DataFrame, score: str, label: str) -> Model:
-    """Monotone map from score to observed rate; tied scores are averaged first."""
-    rows = _by_score(df, score, label).select(
-        "s", (F.col("n1") / (F.col("n0") + F.col("n1"))).alias("y"),
-        (F.col("n0") + F.col("n1")).alias("w"),
+def pool(low: list[float], high: list[float], ones: list[float], weight: list[float]) -> list[tuple]:
+    """Neighbouring blocks (low, high, ones, weight), pooled until their rates rise strictly.
+
+    Pooling parts of a sequence and then their blocks gives what pooling all at once does.
+    """
+    blocks: list[list[float]] = []
+    for block in zip(low, high, ones, weight):
+        blocks.append(list(block))
+        # a / b >= c / d without division
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+            _, top, more, heavier = blocks.pop()
+            blocks[-1][1:] = [top, blocks[-1][2] + more, blocks[-1][3] + heavier]
+    return [tuple(b) for b in blocks]
+
+
+#: Ranges whose blocks one task pools.
+RANGES_AT_ONCE = 64
+
+
+def pooled_blocks(df: DataFrame, score: str, label: str, rows_per_range: int = R.ROWS_PER_RANGE) -> DataFrame:
+    """(bucket, low, high, ones, weight): blocks of scores of rising rates, range by range, then
+    over ``RANGES_AT_ONCE`` neighbouring ranges."""
+    columns = ["low", "high", "ones", "weight"]
+
+    def pooled(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("low")
+        made = pd.DataFrame(pool(*[rows[c].tolist() for c in columns]), columns=columns)
+        made.insert(0, "bucket", int(rows["bucket"].iloc[0]))
+        return made
+
+    schema = "bucket int, low double, high double, ones double, weight double"
+    labelled = df.filter(F.col(label).isin(0, 1))
+    counted = (
+        O.long_values(labelled, [score], [label], rows_per_range).groupBy("bucket", "value")
+        .agg(F.count("*").cast("double").alias("weight"), F.count_if(F.col(label) == 1).cast("double").alias("ones"))
+        .select("bucket", F.col("value").alias("low"), F.col("value").alias("high"), "ones", "weight")
     )
-    return IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w").fit(rows)
+    ranges = counted.groupBy("bucket").applyInPandas(pooled, schema)
+    wide = ranges.withColumn("bucket", F.floor(F.col("bucket") / RANGES_AT_ONCE).cast("int"))
+    return wide.groupBy("bucket").applyInPandas(pooled, schema)
+
+
+def fit_isotonic(df: DataFrame, score: str, label: str, rows_per_range: int = R.ROWS_PER_RANGE) -> Model:
+    """Monotone map from score to observed rate; tied scores are averaged first.
+
+    Scores are pooled range by range. One row for each pooled block reaches the driver, and the
+    model is fitted to the blocks' ends, which it has to leave as they are.
+    """
+    found = sorted(tuple(r)[1:] for r in pooled_blocks(df, score, label, rows_per_range).collect())
+    blocks = pool(*map(list, zip(*found))) if found else []
+    ends = [(s, ones / weight, weight) for low, high, ones, weight in blocks for s in sorted({low, high})]
+    rows = df.sparkSession.createDataFrame(ends, "s double, y double, w double")
+    return IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w").fit(rows.coalesce(1))
+
+
+def block_count(model: Model) -> int:
+    """Distinct rates of an isotonic model: its pooled blocks."""
+    return len(set(model.predictions.toArray().tolist()))
 
 
 def fit_sigmoid(df: DataFrame, score: str, label: str) -> Model:

@@ -21,12 +21,13 @@ from loanlark.operators import (
     history,
     hypothesis,
     importance,
+    learner,
     shaping,
 )
 from loanlark.operators.application import application_features
 from loanlark.operators.scoring import RiskModel
 from loanlark.plans.training import TrainingOptions, train
-from loanlark.session import build_session, through_storage
+from loanlark.session import build_session
 from loanlark.sources import sinks, tables
 
 PART = "_part"
@@ -71,11 +72,17 @@ def feature_schema(spark: SparkSession, work: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(row["features"]))
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    sinks.write_parquet(df, path)
+    return sinks.read_parquet(df.sparkSession, path)
+
+
 def stage_stats(spark: SparkSession, work: str) -> None:
     """Screening tests and the dataset summary as JSON reports."""
     rows = spark.read.parquet(f"{work}/train_features")
-    ks = through_storage(hypothesis.ks_tests(rows), "ks")
-    chi2 = through_storage(hypothesis.chi2_tests(rows), "chi2")
+    # every test is kept; the reports show the first
+    ks = _kept(hypothesis.ks_tests(rows), f"{work}/tables/ks_tests")
+    chi2 = _kept(hypothesis.chi2_tests(rows), f"{work}/tables/chi2_tests")
     tests, counts = hypothesis.statistical_report(ks, chi2)
     reports = {
         "ks_tests": ks.orderBy(F.desc("ks_statistic"), "feature").limit(S.REPORT_ROWS),
@@ -107,16 +114,21 @@ def stage_train(spark: SparkSession, work: str, options: TrainingOptions | None
     reports["bootstrap_ci"] = bootstrap.bootstrap_intervals(
         scored, "probability", S.TARGET, threshold
     )
-    reports["feature_importance"] = importance.permutation_importance(
-        result.model.trees, scored, result.model.features.fieldNames()
-    ).limit(S.IMPORTANCE_STORED)
+    importances = _kept(
+        importance.permutation_importance(result.model.trees, scored, result.model.features.fieldNames()),
+        f"{work}/tables/feature_importance",
+    )
+    reports["feature_importance"] = importances.orderBy(F.desc(importances.columns[1]), "feature").limit(S.IMPORTANCE_STORED)
     _write_reports(reports, work)
     metrics = {
         **reports["ranking"].first().asDict(),
         **reports["threshold_metrics"].first().asDict(),
         "optimal_threshold": threshold,
     }
-    params = {**result.params, "sampling_method": o.resampling, "n_trials": o.trials}
+    params = {
+        **result.params, "sampling_method": o.resampling, "n_trials": o.trials, "search_auc": result.search_auc,
+        "n_trees": result.rounds, "calibration_blocks": learner.block_count(result.model.calibrator) if o.calibration == "isotonic" else None,
+    }
     sinks.append_run(spark, f"{work}/runs", uuid.uuid4().hex, params, metrics)
     return metrics
 

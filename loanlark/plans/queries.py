@@ -660,15 +660,15 @@ def gbt_fit_score(spark, sf_dir):
 
 @query
 def cv_search(spark, sf_dir):
-    apps = _stored_apps(spark, sf_dir)
-    rows = learner.as_array(apps.na.fill(0.0), [*EXTERNAL, "AMT_CREDIT", "DAYS_BIRTH"])
-    small = {"n_estimators": (2, 4, False), "learning_rate": (0.05, 0.3, True),
-             "max_depth": (2, 3, False), "min_child_samples": (10, 100, False)}
-    trials = learner.random_trials(2, ranges=small)
-    found = learner.search(rows, trials, S.ID, folds=3)
+    """All columns of the encoded table, under the queries' budget."""
+    encoded, _, fields = training.encoded_table(spark, sf_dir)
+    budget = training.QUERY_BUDGET
+    rows = learner.as_array(encoded, fields.fieldNames())
+    trials = learner.random_trials(budget.trials, ranges=budget.ranges)
+    found = learner.search(rows, trials, S.ID, folds=budget.folds)
     return spark.createDataFrame(
         [(i, *map(float, t.values()), float(a)) for i, (t, a) in enumerate(found)],
-        ", ".join(["place long", *[f"{k} double" for k in small], "auc double"]),
+        ", ".join(["place long", *[f"{k} double" for k in budget.ranges], "auc double"]),
     )
 
 

@@ -375,3 +375,35 @@ def evaluation_report(
         "calibration_curve": calibration_curve(df, score, label),
         "score_distribution": score_histogram(df, score, label),
     }
+
+
+def report_document(df: DataFrame, score: str, label: str, threshold: float, digits: int = 4) -> DataFrame:
+    """One row ``payload``: the whole report as one JSON document, rounded, with its threshold.
+
+    Every part is bounded by the points, bins and metrics asked for, never by the rows.
+    """
+    parts = evaluation_report(df, score, label, threshold)
+    one = F.lit(1).alias("k")
+
+    def rounded(c: str) -> Column:
+        return F.round(F.col(c), digits).alias(c)
+
+    def curve(part: DataFrame, order: str, names: list[str], whole: tuple[str, ...] = ()) -> DataFrame:
+        rows = part.select(F.struct(order, *[F.col(c) if c in whole else rounded(c) for c in names]).alias("r"))
+        listed = rows.agg(F.array_sort(F.collect_list("r")).alias("rows"))
+        return listed.select(one, F.struct(*[F.col(f"rows.{c}").alias(c) for c in names]).alias("v"))
+
+    ranking = parts["ranking"].select(one, *map(rounded, ("auc_roc", "auc_pr", "ks_statistic")))
+    decided = parts["threshold_metrics"].select(one, *map(rounded, ("precision", "recall", "f1")))
+    cells = confusion(df, score, label, threshold).select(one, F.struct("tn", "fp", "fn", "tp").alias("confusion_matrix"))
+    out = ranking.join(decided, "k").join(cells, "k")
+    for name, made in {
+        "roc_curve": curve(parts["roc_curve"], "idx", ["fpr", "tpr"]),
+        "pr_curve": curve(parts["pr_curve"], "idx", ["precision", "recall"]),
+        "calibration_curve": curve(parts["calibration_curve"], "idx", ["mean_predicted", "fraction_pos"]),
+        "score_distribution": curve(parts["score_distribution"], "bin", ["center", "non_default", "default"], ("non_default", "default")),
+    }.items():
+        # one row each
+        out = out.join(F.broadcast(made.withColumnRenamed("v", name)), "k")
+    document = F.struct(F.lit(round(float(threshold), digits)).alias("threshold"), *[c for c in out.columns if c != "k"])
+    return out.select(F.to_json(document).alias("payload"))

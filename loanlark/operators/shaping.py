@@ -154,3 +154,22 @@ def crosstab(
         .agg(F.count_if(label == 0).alias("n0"), F.count_if(label == 1).alias("n1"))
     )
 
+
+def dataset_overview(
+    train: DataFrame, test: DataFrame, raw: DataFrame, target: str = S.TARGET, ids: tuple = (S.ID,)
+) -> DataFrame:
+    """One row: the shapes of the train and test tables, how many features there are and how many
+    of them the raw table lacks, and the class counts and share."""
+    features = [c for c in train.columns if c not in (target, *ids)]
+    engineered = [c for c in features if c not in set(raw.columns)]
+    label = F.col(target)
+    counts = train.agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        F.count_if(label == 0).alias("non_default_count"),
+        F.count_if(label == 1).alias("default_count"),
+        F.round(F.avg(label.cast("double")), 4).alias("default_rate"),
+    )
+    # one row each
+    rows = counts.withColumn("k", F.lit(1)).join(test.agg(F.count(F.lit(1)).alias("test_rows")).withColumn("k", F.lit(1)), "k")
+    sizes = {"train_columns": len(train.columns), "test_columns": len(test.columns), "n_features": len(features), "n_engineered": len(engineered)}
+    return rows.drop("k").withColumns({c: F.lit(n).cast("long") for c, n in sizes.items()})

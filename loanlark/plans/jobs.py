@@ -65,6 +65,8 @@ def stage_features(spark: SparkSession, raw: str, work: str) -> None:
         sinks.report_lines(shaping.target_distribution(train_out), "target_distribution", "target"),
         f"{work}/reports/target_distribution",
     )
+    overview = shaping.dataset_overview(train_out, spark.read.parquet(f"{work}/test_features"), data["train"])
+    sinks.write_json(sinks.report_lines(overview, "dataset_overview"), f"{work}/reports/dataset_overview")
 
 
 def feature_schema(spark: SparkSession, work: str) -> T.StructType:
@@ -120,6 +122,7 @@ def stage_train(spark: SparkSession, work: str, options: TrainingOptions | None
     )
     reports["feature_importance"] = importances.orderBy(F.desc(importances.columns[1]), "feature").limit(S.IMPORTANCE_STORED)
     _write_reports(reports, work)
+    sinks.write_json(evaluation.report_document(scored, "probability", S.TARGET, threshold), f"{work}/reports/evaluation")
     metrics = {
         **reports["ranking"].first().asDict(),
         **reports["threshold_metrics"].first().asDict(),

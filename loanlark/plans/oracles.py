@@ -711,3 +711,54 @@ blocks AS (SELECT a.r AS lo, b.r AS hi, (b.ck - a.ck + a.k) / CAST(b.cw - a.cw +
   FROM c a JOIN c b ON a.r <= b.r),
 ends AS (SELECT t.r, lo, min(mean) AS m FROM t JOIN blocks ON lo <= t.r AND hi >= t.r GROUP BY 1, 2)""") + f"""
 SELECT {n('p', 'p')}, {n('max(m)', 'probability')} FROM t JOIN ends USING (r) GROUP BY p"""
+
+# --- what can be checked of results that no SQL can make ----------------------------------
+
+_DECIDED = {"precision": "tp / (tp + fp)", "recall": "tp / (tp + fn)", "f1": "2 * tp / (2 * tp + fp + fn)"}
+_POINTS = "least(200, (SELECT count(*) + 1 FROM t))"
+# of the tied scores, no three points of the ROC curve lie on one line
+_BENDS = """(SELECT count(*) + 1 FROM (SELECT *, lead(n0) OVER (ORDER BY p DESC) AS b0, lead(n1) OVER (ORDER BY p DESC) AS b1,
+  lag(p) OVER (ORDER BY p DESC) AS above FROM t) WHERE above IS NULL OR b0 IS NULL OR b0 <> n0 OR b1 <> n1)"""
+_BINS = """(SELECT count(DISTINCT bin) FROM (SELECT (SELECT count(*) FROM (SELECT unnest(quantile_cont(p,
+  [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edge FROM s) WHERE edge < s.p) AS bin FROM s))"""
+ORACLES["evaluation_document"] = with_(COARSE, CURVE, CELLS) + union(
+    [f"SELECT '{k}' AS name, {n(e, 'value', 4)} FROM c" for k, e in RANKING.items()]
+    + [f"SELECT '{k}', {n(e, 'value', 4)} FROM m" for k, e in _DECIDED.items()]
+    + [f"SELECT 'confusion_matrix.{k}', CAST({k} AS DOUBLE) FROM m" for k in ("tn", "fp", "fn", "tp")]
+    + [
+        "SELECT 'threshold', CAST(0.35 AS DOUBLE)",
+        "SELECT 'score_distribution.points', CAST(30 AS DOUBLE)",
+        f"SELECT 'pr_curve.points', CAST({_POINTS} AS DOUBLE)",
+        f"SELECT 'roc_curve.points', CAST({_BENDS} AS DOUBLE)",
+        f"SELECT 'calibration_curve.points', CAST({_BINS} AS DOUBLE)",
+    ]
+)
+_SHAPES = {
+    "train_columns": len(APP_NUMBERS) + len(APP_TEXT) + 2 + len(APP_FEATURES_N) + len(APP_FEATURES_I),
+    "test_columns": len(APP_NUMBERS) + len(APP_TEXT) + 1 + len(APP_FEATURES_N) + len(APP_FEATURES_I),
+    "n_features": len(APP_NUMBERS) + len(APP_TEXT) + len(APP_FEATURES_N) + len(APP_FEATURES_I),
+    "n_engineered": len(APP_FEATURES_N) + len(APP_FEATURES_I),
+}
+ORACLES["dataset_overview"] = with_(APP) + f"""SELECT count(*) AS train_rows, count(*) AS test_rows,
+  {cols([i(str(v), k) for k, v in _SHAPES.items()])}, {n('avg(TARGET)', 'default_rate', 4)},
+  {i('sum(TARGET)', 'default_count')}, {i('count_if(TARGET = 0)', 'non_default_count')} FROM app"""
+ORACLES["column_dictionary"] = """SELECT CAST(n_nationkey AS BIGINT) AS id, 'nation' AS "Table", n_name AS "Row",
+  'région ' || n_regionkey AS Description, nullif(n_name, 'NATION_7') AS Special FROM nation"""
+ORACLES["bootstrap_points"] = with_(COARSE, CURVE, CELLS) + union(
+    [f"SELECT '{k}' AS metric, {n(e, 'point', 4)}, {n('0.95', 'ci')}, {i('1', 'within')}, {i('1', 'is_width')} FROM c"
+     for k, e in RANKING.items() if k != "ks_statistic"]
+    + [f"SELECT '{k}', {n(e, 'point', 4)}, {n('0.95', 'ci')}, {i('1', 'within')}, {i('1', 'is_width')} FROM m" for k, e in _DECIDED.items()]
+)
+_WANTED = "trunc(CAST(0.3 AS DOUBLE) * count_if(label <> 1) - count_if(label = 1))"
+ORACLES["smote_rules"] = f"""SELECT {cols([i(_WANTED, c) for c in ('n_rows', 'n_near', 'n_steps', 'n_between')])} FROM embeddings"""
+ORACLES["adasyn_copies"] = with_(
+    nearest("embeddings"),
+    "shares AS (SELECT id, avg(CAST(other <> 1 AS INT)) AS share FROM near GROUP BY id)",
+    f"wanted AS (SELECT {_WANTED} AS w FROM embeddings)",
+) + f"""SELECT id AS parent, {i('round_even(share / (SELECT sum(share) FROM shares) * (SELECT w FROM wanted), 0)', 'copies')}
+  FROM shares WHERE round_even(share / (SELECT sum(share) FROM shares) * (SELECT w FROM wanted), 0) > 0"""
+ORACLES["platt_gradient"] = with_(COARSE) + "SELECT CAST(0 AS DOUBLE) AS of_intercept, CAST(0 AS DOUBLE) AS of_slope, count(*) AS n_rows FROM s"
+ORACLES["score_rules"] = with_(APP) + f"SELECT SK_ID_CURR AS id, {i('1', 'keeps_rules')} FROM app WHERE DAYS_BIRTH + 8000 < 0"
+ORACLES["stream_fallback"] = with_(APP) + f"""SELECT SK_ID_CURR AS id, {i('DAYS_BIRTH + 8000 < 0', 'accepted')},
+  CASE WHEN DAYS_BIRTH + 8000 < 0 THEN '' ELSE 'DAYS_BIRTH < 0' END AS broken_rules,
+  CASE WHEN DAYS_BIRTH + 8000 < 0 THEN {FALLBACK} END AS probability FROM app"""

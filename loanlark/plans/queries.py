@@ -722,3 +722,127 @@ def feature_importance(spark, sf_dir):
 def importance_topn(spark, sf_dir):
     ks = hypothesis.ks_tests(_features(spark, sf_dir)).select("feature", "ks_statistic")
     return tidy(importance.top_importance(ks, "ks_statistic", 10))
+
+
+# --- what can be checked of results that no SQL can make ----------------------------------
+
+
+@query
+def evaluation_document(spark, sf_dir):
+    """The assembled report, read back: its numbers and the lengths of its curves."""
+    path = scratch_path(spark, "document")
+    scores = D.coarse_scores(spark, sf_dir)
+    sinks.write_json(evaluation.report_document(scores, "p", "y", S.DEFAULT_THRESHOLD), path)
+    document = spark.read.schema("payload string").json(path).select("payload")
+    paths = [
+        "threshold", "auc_roc", "auc_pr", "ks_statistic", "precision", "recall", "f1",
+        *[f"confusion_matrix.{c}" for c in ("tn", "fp", "fn", "tp")],
+    ]
+    numbers = [F.struct(F.lit(p).alias("name"), F.get_json_object("payload", f"$.{p}").cast("double").alias("value")) for p in paths]
+    lengths = {"roc_curve": "fpr", "pr_curve": "recall", "calibration_curve": "fraction_pos", "score_distribution": "default"}
+    numbers += [
+        F.struct(F.lit(f"{c}.points").alias("name"), F.json_array_length(F.get_json_object("payload", f"$.{c}.{v}")).cast("double").alias("value"))
+        for c, v in lengths.items()
+    ]
+    return tidy(document.select(F.inline(F.array(*numbers))), 4)
+
+
+@query
+def dataset_overview(spark, sf_dir):
+    raw = _apps(spark, sf_dir)
+    featured = application_features(raw)
+    return tidy(shaping.dataset_overview(featured, featured.drop(S.TARGET), raw))
+
+
+@query
+def column_dictionary(spark, sf_dir):
+    """A dictionary of the nations, written in its encoding and read by the strict reader."""
+    path = scratch_path(spark, "dictionary")
+    nation = D.read(spark, sf_dir, "nation")
+    rows = nation.select(
+        F.col("n_nationkey").alias("id"), F.lit("nation").alias("Table"), F.col("n_name").alias("Row"),
+        F.concat(F.lit("région "), F.col("n_regionkey").cast("string")).alias("Description"), F.nullif(F.col("n_name"), F.lit("NATION_7")).alias("Special"),
+    )
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/{tables.FILES['description']}")
+    return tidy(tables.load_table(spark, "description", path))
+
+
+@query
+def bootstrap_points(spark, sf_dir):
+    """Point estimates, and whether each lies within its interval."""
+    made = bootstrap.bootstrap_intervals(D.coarse_scores(spark, sf_dir), "p", "y", S.DEFAULT_THRESHOLD)
+    within = (F.col("lower") <= F.col("point")) & (F.col("point") <= F.col("upper")) & (F.col("lower") < F.col("upper"))
+    width = F.abs(F.col("width") - (F.col("upper") - F.col("lower"))) < 1e-9
+    return tidy(made.select("metric", "point", "ci", within.alias("within"), width.alias("is_width")))
+
+
+def _made_rows_checked(made, vectors, near):
+    """Of synthetic rows: how many there are, and how many keep each rule."""
+    own = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    pairs = near.select(F.col("id").alias("parent"), "neighbour", F.lit(True).alias("is_near"))
+    joined = (
+        made.join(own.toDF("parent", "a"), "parent", "left").join(own.toDF("neighbour", "b"), "neighbour", "left")
+        .join(pairs, ["parent", "neighbour"], "left")
+    )
+    on_line = F.zip_with("a", "b", lambda a, b: a + F.col("step") * (b - a))
+    off = F.aggregate(F.zip_with("vector", on_line, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda m, d: F.greatest(m, d))
+    return joined.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if("is_near").alias("n_near"),
+        F.count_if((F.col("step") >= 0) & (F.col("step") < 1)).alias("n_steps"),
+        F.count_if(off < 1e-9).alias("n_between"),
+    )
+
+
+@query
+def smote_rules(spark, sf_dir):
+    vectors = D.labelled_vectors(spark, sf_dir)
+    minority = vectors.filter("y = 1")
+    made = resampling.smote(vectors, "y", "vec_id", "embedding")
+    near = neighbours.nearest_neighbours(minority, minority, "vec_id", "embedding", S.NEIGHBOURS)
+    return tidy(_made_rows_checked(made, minority, near))
+
+
+@query
+def adasyn_copies(spark, sf_dir):
+    made = resampling.adasyn(D.labelled_vectors(spark, sf_dir), "y", "vec_id", "embedding")
+    return tidy(made.groupBy("parent").agg(F.count("*").alias("copies")))
+
+
+@query
+def platt_gradient(spark, sf_dir):
+    """The mean gradient of the logistic loss with smoothed targets: zero at the fit."""
+    scores = D.coarse_scores(spark, sf_dir)
+    model = learner.fit_sigmoid(scores, "p", "y")
+    n = scores.agg(F.sum("y").alias("n1"), F.count_if(F.col("y") == 0).alias("n0"))
+    target = F.when(F.col("y") == 1, (F.col("n1") + 1) / (F.col("n1") + 2)).otherwise(1 / (F.col("n0") + 2))
+    # one row
+    made = learner.calibrated(model, scores, "p").join(F.broadcast(n))
+    gap = F.col("probability") - target
+    return tidy(made.agg(F.avg(gap).alias("of_intercept"), F.avg(gap * F.col("p")).alias("of_slope"), F.count("*").alias("n_rows")), 5)
+
+
+@query
+def score_rules(spark, sf_dir):
+    """Valid applications, and whether their score records keep the record's rules."""
+    p, shown = F.col("probability"), F.col("default_probability")
+    keeps = (
+        p.between(0, 1) & (F.col("risk_score") == F.round(p * 100, 2)) & (shown == F.round(p, 4)) & (F.col("risk_label") == X.score_band(p))
+        & (F.col("predicted_default") == (p >= F.col("threshold"))) & F.col("threshold").between(S.THRESHOLD_LOW, S.THRESHOLD_HIGH)
+    )
+    return tidy(score_applications(spark, sf_dir).select("id", keeps.alias("keeps_rules")))
+
+
+@query
+def stream_fallback(spark, sf_dir):
+    """Arriving applications, accepted and rejected in one pass, scored without a model."""
+    path = scratch_path(spark, "route")
+    _requests(spark, sf_dir).repartition(5, "id").write.parquet(f"{path}/in")
+    arriving = scorer.read_applications(spark, f"{path}/in", "parquet", files=2)
+
+    def score(rows):
+        return rows.select("routing", scoring.fallback_probability().alias("probability"))
+
+    scorer.route_stream(arriving, score, f"{path}/out", f"{path}/log").awaitTermination()
+    made = scorer.read_routed(spark, f"{path}/out")
+    return tidy(made.select("id", "accepted", F.concat_ws("; ", "broken_rules").alias("broken_rules"), "probability"))

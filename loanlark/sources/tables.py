@@ -138,9 +138,10 @@ def load_table(spark: SparkSession, name: str, folder: str, file: str | None = N
     if name not in FILES:
         raise KeyError(f"unknown table {name!r}; known: {sorted(FILES)}")
     path = f"{folder.rstrip('/')}/{file or FILES[name]}"
-    header = csv_header(spark, path)
     if name == "description":
-        return spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+        # the first column has no name in the file, so columns go by their place
+        return read_csv(spark, path, SCHEMAS[name], encoding="ISO-8859-1", enforceSchema=True)
+    header = csv_header(spark, path)
     table = read_csv(spark, path, extend_schema(name, header))
     if name in OPEN_TABLES:
         return table

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlark import settings as S
+from loanlark.session import through_storage
 
 
 def is_numeric(field: T.StructField) -> bool:
@@ -46,6 +47,31 @@ def drop_sparse_columns(df: DataFrame, limit: float = S.NULL_FRACTION_LIMIT) ->
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c in kept])
 
 
+def counting_nulls(df: DataFrame, among: Column | None = None) -> tuple[DataFrame, Observation]:
+    """The table, which counts its filled cells while it is written, and what it will have seen.
+
+    ``among`` limits the counts to some rows. Nothing is read for them a second time.
+    """
+    seen = Observation()
+    held = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    counts = [F.count_if(held & F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    return df.observe(seen, F.count_if(held).alias("n"), *counts), seen
+
+
+def dense_columns(seen: Observation, columns: list[str], limit: float = S.NULL_FRACTION_LIMIT) -> list[str]:
+    """Of the written table's ``columns``, in its order, those that ``drop_sparse_columns`` would keep."""
+    counts = seen.get
+    n = counts["n"]
+    return [c for i, c in enumerate(columns) if n and (n - counts[f"c{i}"]) / n <= limit]
+
+
+def stored_dense(df: DataFrame, name: str, limit: float = S.NULL_FRACTION_LIMIT) -> DataFrame:
+    """Store a table and keep its columns of few nulls, counted during the write."""
+    counted, seen = counting_nulls(df)
+    stored = through_storage(counted, name)
+    return stored.select(*[F.col(f"`{c}`") for c in dense_columns(seen, df.columns, limit)])
+
+
 def align_columns(df: DataFrame, like: DataFrame | T.StructType, exclude: tuple = ()) -> DataFrame:
     """The columns of ``like`` in its order: missing ones as null, extra ones dropped."""
     schema = like if isinstance(like, T.StructType) else like.schema

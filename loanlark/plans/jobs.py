@@ -44,9 +44,11 @@ def stage_features(spark: SparkSession, raw: str, work: str) -> None:
         data["test"].withColumn(PART, F.lit("test")), allowMissingColumns=True
     )
     wide = history.widen(application_features(both), history.history_summaries(data))
-    wide.write.mode("overwrite").partitionBy(PART).parquet(f"{work}/wide")
+    counted, seen = shaping.counting_nulls(wide, F.col(PART) == "train")
+    counted.write.mode("overwrite").partitionBy(PART).parquet(f"{work}/wide")
+    dense = [c for c in shaping.dense_columns(seen, wide.columns) if c != PART]
     wide = spark.read.parquet(f"{work}/wide")
-    train_rows = shaping.drop_sparse_columns(wide.filter(F.col(PART) == "train").drop(PART))
+    train_rows = wide.filter(F.col(PART) == "train").select(*dense)
     inputs = train_rows.drop(S.ID, S.TARGET)
     # train decides the columns; a test column that train dropped goes with it
     test_rows = shaping.align_columns(

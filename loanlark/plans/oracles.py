@@ -762,3 +762,6 @@ ORACLES["score_rules"] = with_(APP) + f"SELECT SK_ID_CURR AS id, {i('1', 'keeps_
 ORACLES["stream_fallback"] = with_(APP) + f"""SELECT SK_ID_CURR AS id, {i('DAYS_BIRTH + 8000 < 0', 'accepted')},
   CASE WHEN DAYS_BIRTH + 8000 < 0 THEN '' ELSE 'DAYS_BIRTH < 0' END AS broken_rules,
   CASE WHEN DAYS_BIRTH + 8000 < 0 THEN {FALLBACK} END AS probability FROM app"""
+ORACLES["page_by_directory"] = with_(APP, SCORED, LISTED) + """SELECT page, id, risk_score FROM (
+  SELECT (row_number() OVER (ORDER BY risk_score DESC, id) - 1) // 7 AS page, id, risk_score, count(*) OVER () AS n FROM listed)
+  WHERE page IN (0, (CAST(ceil(n / 7) AS BIGINT) - 1) // 2, CAST(ceil(n / 7) AS BIGINT) - 1)"""

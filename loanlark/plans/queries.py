@@ -318,6 +318,20 @@ def page_applications(spark, sf_dir):
     return tidy(third.join(F.broadcast(pages), "k").select("id", "risk_score", "n_pages"))
 
 
+@query
+def page_by_directory(spark, sf_dir):
+    """The first, a middle and the last page, each from the ranges that hold it."""
+    listed = through_storage(_listed(spark, sf_dir).select("id", "risk_score"), "listed")
+    directory = browse.page_directory(listed, "risk_score", rows_per_range=500)
+    last = directory.pages() - 1
+    pages = [(k, browse.page_at(listed, directory, k)) for k in sorted({0, last // 2, last})]
+    out = [p.select(F.lit(k).cast("long").alias("page"), "id", "risk_score") for k, p in pages]
+    made = out[0]
+    for part in out[1:]:
+        made = made.unionByName(part)
+    return tidy(made)
+
+
 @query
 def applicant_profile(spark, sf_dir):
     return tidy(scoring.applicant_profile(_apps(spark, sf_dir)))
@@ -385,7 +399,7 @@ def _wide(spark, sf_dir):
 
 @query
 def wide_features(spark, sf_dir):
-    return tidy(shaping.drop_sparse_columns(through_storage(_wide(spark, sf_dir), "wide")))
+    return tidy(shaping.stored_dense(_wide(spark, sf_dir), "wide"))
 
 
 # --- shaping -----------------------------------------------------------------------------

@@ -143,7 +143,7 @@ def encoded_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, encoding
     types before."""
     summaries = history.history_summaries(standins.histories(spark, sf_dir))
     featured = application_features(standins.applications(spark, sf_dir))
-    wide = shaping.drop_sparse_columns(through_storage(history.widen(featured, summaries), "wide"))
+    wide = shaping.stored_dense(history.widen(featured, summaries), "wide")
     inputs = wide.drop(S.ID, S.TARGET)
     state = encoding.fit_encoding(inputs)
     encoded = through_storage(encoding.apply_encoding(wide, state, (S.ID, S.TARGET)), "encoded")

@@ -8,7 +8,8 @@ it, so bytes can be appended by adding entries, and after an edit only entries u
 point where the old ones repeat are computed anew.
 
 Defined results: null and empty texts give no tokens and empty bytes; repeated rows are each
-encoded; null ids decode to null; other columns pass through.
+encoded; null ids decode to null; other columns pass through, but for one of the output's own name, which
+gives way to it.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlark.llm.common import in_portions, per_row, texts_of
+from loanlark.llm.common import free_name, in_portions, per_row, texts_of
 
 #: Entries of one generation of a worker's memo; two are kept.
 MEMO_WORDS = 200_000
@@ -134,6 +136,7 @@ class PrefixBpe:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.token = {i: b for b, i in ranks.items()}
+        self.spelled: pa.Array | None = None
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         # white space bounds every match but for one leading blank, so such pieces can be
         # looked up whole; the pattern splits a piece as it does within the text
@@ -310,6 +313,23 @@ class PrefixBpe:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of every list of ids: all tokens are laid in a row, and a list's bytes end
+        where its last token's do. Null lists are null."""
+        if self.spelled is None:
+            self.spelled = pa.array([self.token.get(i) for i in range(max(self.token) + 1)], pa.binary())
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        spelled = self.spelled.take(lists.flatten())
+        if spelled.null_count:
+            raise KeyError("an id without a token")
+        if not len(spelled):
+            return pa.array([b"" if there else None for there in lists.is_valid().to_pylist()], pa.binary())
+        _, ends, content = spelled.buffers()
+        at = np.frombuffer(ends, np.int32)[spelled.offset : spelled.offset + len(spelled) + 1]
+        borders = at[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+        rows = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(borders), content])
+        return pc.if_else(lists.is_valid(), rows, pa.scalar(None, pa.binary())) if lists.null_count else rows
+
     def replace(self, text: str, ids: list[int], start: int, stop: int, new: str):
         """Re-encode after replacing ``text[start:stop]``: only around the edit.
 
@@ -362,9 +382,11 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, text: str = "text", i
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         model = _model(content.value, pattern)
         flat, ends = model.encode_all(texts_of(batch))
-        return {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}
+        return {made: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}
 
-    return per_row(docs, [F.col(f"`{text}`")], work, [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    made = free_name(docs, "0ids")
+    found = per_row(docs, [F.col(f"`{text}`")], work, [T.StructField(made, T.ArrayType(T.IntegerType()))])
+    return found.drop(F.col(f"`{ids}`")).withColumnRenamed(made, ids) if ids in docs.columns else found.withColumnRenamed(made, ids)
 
 
 def decode(encoded: DataFrame, ranks_file: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -372,11 +394,11 @@ def decode(encoded: DataFrame, ranks_file: str, pattern: str, ids: str = "ids",
     content = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_file))
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        model = _model(content.value, pattern)
-        rows = (batch.column("0").slice(i, 1) for i in range(batch.num_rows))
-        return {out: pa.array([None if r.null_count else model.decode(r.flatten().to_pylist()) for r in rows], pa.binary())}
+        return {made: _model(content.value, pattern).decode_all(batch.column("0"))}
 
-    return per_row(encoded, [F.col(f"`{ids}`")], work, [T.StructField(out, T.BinaryType())])
+    made = free_name(encoded, "0decoded")
+    found = per_row(encoded, [F.col(f"`{ids}`")], work, [T.StructField(made, T.BinaryType())])
+    return found.drop(F.col(f"`{out}`")).withColumnRenamed(made, out) if out in encoded.columns else found.withColumnRenamed(made, out)
 
 
 def replace(
@@ -398,14 +420,15 @@ def replace(
             a = min(max(a or 0, 0), len(t))
             out.append(model.replace(t, had or [], a, min(max(b or 0, a), len(t)), n or ""))
         return {
-            "_text": pa.array([x[0] for x in out], pa.string()),
-            "_ids": pa.array([x[1] for x in out], pa.list_(pa.int32())),
+            names[0]: pa.array([x[0] for x in out], pa.string()),
+            names[1]: pa.array([x[1] for x in out], pa.list_(pa.int32())),
         }
 
-    fields = [T.StructField("_text", T.StringType()), T.StructField("_ids", T.ArrayType(T.IntegerType()))]
+    names = [free_name(encoded, "0text"), free_name(encoded, "0ids")]
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.ArrayType(T.IntegerType()))]
     inputs = [F.col(f"`{text}`"), F.col(f"`{ids}`"), start, stop, new]
     return (
         per_row(encoded, inputs, work, fields)
-        .withColumns({text: F.col("_text"), ids: F.col("_ids")})
-        .drop("_text", "_ids")
+        .withColumns({text: F.col(f"`{names[0]}`"), ids: F.col(f"`{names[1]}`")})
+        .drop(*names)
     )

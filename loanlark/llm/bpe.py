@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 
 from loanlark.llm.common import free_name, in_portions, per_row, texts_of
 
-#: Entries of one generation of a worker's memo; two are kept.
-MEMO_WORDS = 200_000
+#: Pieces that a worker remembers, and how many it handles at a time.
+MEMO_WORDS = 500_000
+PIECES_AT_ONCE = 100_000
 MEMO_PAIRS = 300_000
 #: Longest piece in bytes that is encoded side by side with others.
 SIDE_BY_SIDE = 48
@@ -142,8 +143,10 @@ class PrefixBpe:
         # looked up whole; the pattern splits a piece as it does within the text
         self.pieces = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
         self.fits = Memo(self._fits, MEMO_PAIRS)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
+        # of each known piece its number, and by that where its ids lie
+        self.at: dict[str, int] = {}
+        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
         self.lookup = Lookup(ranks)
 
     @classmethod
@@ -231,33 +234,64 @@ class PrefixBpe:
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's end."""
-        parts, sizes = [np.empty(0, np.int32)], []
+        parts, ends = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
         split = [self.pieces.findall(t) for t in texts]
-        for begin, end in in_portions([len(s) for s in split], MEMO_WORDS // 4):
-            self._learn(set().union(*split[begin:end]))
-            ids = [list(chain.from_iterable(map(self.words.__getitem__, s))) for s in split[begin:end]]
-            sizes += map(len, ids)
-            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids))))
-        return np.concatenate(parts), np.cumsum([0, *sizes])
+        for begin, end in in_portions([len(s) for s in split], PIECES_AT_ONCE):
+            own = split[begin:end]
+            self._learn(set().union(*own))
+            counts = [len(s) for s in own]
+            at = np.fromiter(map(self.at.__getitem__, chain.from_iterable(own)), np.int64, sum(counts))
+            self.uses[np.unique(at)] += 1
+            parts.append(self.flat[self._places(at)])
+            # where the ids of each text end, by those of its pieces
+            upto = np.concatenate([[0], np.cumsum(self.sizes[at])])
+            ends.append(ends[-1][-1] + upto[np.cumsum(counts)])
+        return np.concatenate(parts), np.concatenate(ends)
+
+    def _places(self, at: np.ndarray) -> np.ndarray:
+        """Where the ids of these pieces lie, piece after piece."""
+        sizes = self.sizes[at]
+        return np.arange(sizes.sum()) + np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes)
+
+    def _keep_common(self) -> None:
+        """Forget all pieces but the half at most that came up in most portions, in two at least."""
+        least = 2
+        while (self.uses >= least).sum() > MEMO_WORDS // 2:
+            least += 1
+        kept = np.flatnonzero(self.uses >= least)
+        names = list(self.at)
+        self.flat, self.sizes = self.flat[self._places(kept)], self.sizes[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.at = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.uses = np.zeros(len(kept), np.int64)
 
     def _learn(self, words: set[str]) -> None:
         """Bring words into the memo; what it lacks is encoded all at once."""
-        known, before = self.words, self.before
-        if len(known) + len(words) > MEMO_WORDS:
-            self.before = before = known
-            self.words = known = {}
-        lacking = []
-        for word in words.difference(known):
-            ids = before.get(word)
-            if ids is None:
-                lacking.append(word)
-            else:
-                known[word] = ids
+        if len(self.at) + len(words) > MEMO_WORDS:
+            self._keep_common()
+        known = self.at
+        lacking = list(words.difference(known))
+        if not lacking:
+            return
         matches = [self.split(w) for w in lacking]
-        new = list(set(chain.from_iterable(matches)))
-        found = dict(zip(new, self.many([m.encode() for m in new])))
-        for word, own in zip(lacking, matches):
-            known[word] = found[own[0]] if len(own) == 1 else tuple(chain.from_iterable(map(found.__getitem__, own)))
+        # a word without its mark may be known as a piece of its own, and is from now on
+        found: dict[str, tuple[int, ...]] = {}
+        new = []
+        for m in set(chain.from_iterable(matches)):
+            i = known.get(m)
+            if i is None:
+                new.append(m)
+            else:
+                found[m] = tuple(self.flat[self.starts[i] : self.starts[i] + self.sizes[i]].tolist())
+        found.update(zip(new, self.many([m.encode() for m in new])))
+        made = dict(zip(lacking, [found[own[0]] if len(own) == 1 else tuple(chain.from_iterable(map(found.__getitem__, own))) for own in matches]))
+        made.update((m, found[m]) for m in new if m[-1].isalpha())
+        sizes = np.fromiter(map(len, made.values()), np.int64, len(made))
+        known.update(zip(made, range(len(known), len(known) + len(made))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(made), np.int64)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(made.values()), np.int32, int(sizes.sum()))])
 
     def many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Encode many pieces side by side: entry by entry of ``last``, for all at once."""

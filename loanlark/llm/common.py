@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlark.session import through_storage
+from loanlark.session import scratch_path
 
 #: Words handled at a time by the vectorised steps: bounds a worker's memory for any batch.
 WORDS_AT_ONCE = 400_000
@@ -34,8 +34,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(CLEAN_UP)
     conf.set(CLEAN_UP, "true")
+    path = scratch_path(df.sparkSession, name)
     try:
-        return through_storage(df, name)
+        df.write.option("compression", "zstd").parquet(path)
+        return df.sparkSession.read.parquet(path)
     finally:
         conf.set(CLEAN_UP, before)
 

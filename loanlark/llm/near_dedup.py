@@ -236,4 +236,4 @@ def _texts(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFra
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
     """The documents without those that have a near-duplicate of smaller id."""
     found = near_duplicates(docs, doc_id, text, width, percent).where("not kept")
-    return docs.join(stored(found.select(doc_id).distinct(), "dropped"), doc_id, "left_anti").select(*docs.columns)
+    return docs.join(stored(found.select(doc_id).distinct(), "dropped"), doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,9 +6,12 @@ tokens are linked, and so are the consecutive places of equal or similar tokens
 letters and digits, or the same last seven digits), however far apart. Every place is also
 linked to the first place of its key that is in a pattern match. Loopy sum-product messages run
 over all links of a text until they settle, each text for itself; tokens in pattern matches are fixed to their kind, so
-that a number or address written once in full also marks its barer copies. Weights are
-fitted by pseudo-likelihood on ``SAMPLE`` texts that hold evidence, in order of a hash of the
-text, labelled by the pattern matches.
+that a number or address written once in full, in one token or several, also marks its barer
+copies. Tokens that would be a number of their own are never joined to one span. Weights are
+fitted by pseudo-likelihood on ``SAMPLE`` different texts that hold evidence, in order of a hash
+of the text. They are labelled by the pattern matches in the whole text; only then is the text
+reduced to its evidence, of which it gives ``CLIP`` characters at most, so the sample that the
+driver reads is bounded by ``SAMPLE`` x ``CLIP`` characters.
 
 Defined results: null and empty texts have no spans; spans count code points, end
 exclusive; repeated rows are each searched; other columns pass through, whatever their names.
@@ -17,23 +20,31 @@ exclusive; repeated rows are each searched; other columns pass through, whatever
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlark.llm.common import per_row, texts_of
+from loanlark.llm.common import per_row, slices, texts_of
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["outside", *KINDS]
 SAMPLE = 2_000
+#: Characters of evidence that a sampled text gives to the fit.
+CLIP = 2_048
 STEPS = 300
 #: Rounds of messages for a text that does not settle, and more for each of its tokens.
 ROUNDS, ROUNDS_A_TOKEN = 100, 2
 #: Least belief in a kind for a span of its own.
 BELIEF = 0.8
+#: Digits of a number by itself, and most digits of one: the kinds that may take several tokens.
+DIGITS_OF = {2: (13, 19), 3: (9, 15)}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -136,6 +147,11 @@ class Graph:
                 keys = {bare} if len(bare) >= 5 else set()
                 if len(digits) >= 7:
                     keys.add("#" + digits[-7:])
+                # the first token of a number in several answers for the number
+                for kind, start, stop in reach:
+                    if kind in DIGITS_OF and start >= begin:
+                        whole = "".join(DIGITS.findall(text[start:stop]))
+                        keys |= {whole, "#" + whole[-7:]}
                 linked = {seen[k] for k in keys if k in seen}
                 skip += [(j, i) for j in linked]
                 seen.update(dict.fromkeys(keys, i))
@@ -289,23 +305,94 @@ def _added(field: Field, texts: list[str], bases: list[list[Span]]) -> list[list
         while end > begin and not texts[n][end - 1].isalnum():
             end -= 1
         own = out[n]
-        if own and own[-1][0] == label - 1 and begin - own[-1][2] == 1:
+        if own and own[-1][0] == label - 1 and begin - own[-1][2] == 1 and _one_number(label - 1, texts[n], own[-1][1], begin, end):
             own[-1] = (label - 1, own[-1][1], end)
         elif end > begin:
             own.append((label - 1, begin, end))
     return out
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Field:
-    """Weights from at most ``sample`` texts that hold evidence."""
-    held = docs.select(F.col(f"`{text}`").alias("t")).where(F.col("t").rlike("[0-9@+]"))
-    rows = held.orderBy(F.xxhash64("t"), "t").limit(sample)
-    texts = [r.t for r in rows.select(F.expr(CLIPPED).alias("t")).toLocalIterator()]
-    return Field.fit(Graph(texts, [base_spans(t) for t in texts]))
+def _one_number(kind: int, text: str, start: int, begin: int, end: int) -> bool:
+    """Whether a token goes on with the number that starts before it: neither is a whole one."""
+    if kind not in DIGITS_OF:
+        return False
+    least, most = DIGITS_OF[kind]
+    before, after = (sum(c in "0123456789" for c in t) for t in (text[start:begin], text[begin:end]))
+    return before < least and after < least and before + after <= most
+
+
+def clipped(text: str, limit: int = CLIP) -> tuple[str, list[Span]]:
+    """The evidence of a text with its pattern matches, found in the whole text.
+
+    Tokens keep the character on either side; neighbours stay neighbours. Where the evidence
+    exceeds ``limit`` characters, whole tokens and matches are taken in a row from a place
+    that a hash of the text names; one that exceeds the limit alone is left out.
+    """
+    base = base_spans(text)
+    units: list[list[int]] = []
+    for begin, end in sorted([m.span() for m in TOKEN.finditer(text)] + [s[1:] for s in base]):
+        if units and begin < units[-1][1]:
+            units[-1][1] = max(units[-1][1], end)
+        else:
+            units.append([begin, end])
+    if sum(end - begin for begin, end in units) > limit:
+        first, left, taken = xxhash.xxh64_intdigest(text) % len(units), limit, []
+        for begin, end in units[first:] + units[:first]:
+            if end - begin > limit:
+                continue
+            left -= end - begin
+            if left < 0:
+                break
+            taken.append([begin, end])
+        units = sorted(taken)
+    parts: list[list[int]] = []
+    for begin, end in units:
+        if parts and begin - 1 <= parts[-1][1]:
+            parts[-1][1] = min(end + 1, len(text))
+        else:
+            parts.append([max(begin - 1, 0), min(end + 1, len(text))])
+    starts = [a for a, _ in parts]
+    places = list(accumulate((b - a + 1 for a, b in parts), initial=0))
+    spans = []
+    for kind, begin, end in base:
+        i = bisect_right(starts, begin) - 1
+        if i >= 0 and end <= parts[i][1]:
+            shift = places[i] - starts[i]
+            spans.append((kind, begin + shift, end + shift))
+    return "\n".join(text[a:b] for a, b in parts), spans
+
+
+def sampled(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """``t`` and ``spans`` of at most ``sample`` different texts that hold evidence, least hash first.
+
+    Hashes are cut by their estimated number first, so that hardly more rows than wanted are
+    clipped, and copies are one row.
+    """
+    held = docs.select(F.col(f"`{text}`").alias("t")).where(F.col("t").rlike("[0-9@+]")).select(F.xxhash64("t").alias("h"), "t")
+    different = held.agg(F.approx_count_distinct("h", 0.05)).first()[0]
+    share = min(1.0, 1.3 * (sample + 6 * sample**0.5 + 20) / max(different, 1))
+    cut = min(int(share * 2**64) - 2**63, 2**63 - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [clipped(t) for t in texts_of(batch, "t")]
+            spans = [[{"kind": k, "start": a, "end": b} for k, a, b in own] for _, own in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([t for t, _ in found], pa.string()), pa.array(spans, SPANS)], names=["h", "t", "spans"]
+            )
+
+    rows = held.where(F.col("h") <= cut).mapInArrow(run, "h long, t string, spans array<struct<kind: int, start: int, end: int>>")
+    once = rows.groupBy("h").agg(F.min(F.struct("t", "spans")).alias("v"))
+    return once.orderBy("h").limit(sample).select("v.*")
+
 
+SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
-#: A sampled text is reduced to its evidence tokens with one token on either side.
-CLIPPED = r"array_join(regexp_extract_all(t, '(\\S*\\s+)?\\S*[0-9@+]\\S*(\\s+\\S*)?', 0), '\n')"
+
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Field:
+    """Weights from at most ``sample`` texts that hold evidence."""
+    rows = sampled(docs, text, sample).collect()  # bounded by sample x CLIP characters
+    return Field.fit(Graph([r.t for r in rows], [[tuple(s) for s in r.spans] for r in rows]))
 
 
 def find(docs: DataFrame, out: str, text: str = "text", model: Field | None = None) -> DataFrame:

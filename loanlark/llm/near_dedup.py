@@ -70,7 +70,7 @@ def run_keys(words: list[list[bytes]], width: int) -> tuple[np.ndarray, np.ndarr
     # short texts are one run, of all their words
     for k in range(width):
         part = np.zeros(len(flat), np.uint64)
-        part[: len(flat) - k] = hashes[k:]
+        part[: max(len(flat) - k, 0)] = hashes[k:]
         inside = place + k < sizes[owner]
         key = np.where(inside, _mix(key ^ (part * FACTORS[k])), key)
     starts = place < np.maximum(sizes[owner] - width + 1, 1)

@@ -9,7 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    LogisticRegressionModel,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -20,7 +25,7 @@ from loanlark import settings as S
 from loanlark.functions import ordering as O
 from loanlark.functions import ranges as R
 from loanlark.operators import sampling
-from loanlark.session import shared_dir, through_storage
+from loanlark.session import scratch_path, shared_dir, through_storage
 
 # Learner parameters that MLlib's boosted trees share with the searched ones.
 PARAM_NAMES = {
@@ -251,6 +256,9 @@ def fit_sigmoid(df: DataFrame, score: str, label: str) -> Model:
 
     The target of a positive is (N1 + 1) / (N1 + 2) and of a negative 1 / (N0 + 2); each
     score becomes two weighted rows, one per class.
+
+    The model is stored and loaded: a fitted one holds its summary and through it the session,
+    which no task can be sent once an Observation was used in it.
     """
     counts = _by_score(df, score, label)
     n0, n1 = counts.agg(F.sum("n0"), F.sum("n1")).first()
@@ -266,9 +274,12 @@ def fit_sigmoid(df: DataFrame, score: str, label: str) -> Model:
             )
         ),
     )
-    return LogisticRegression(
+    model = LogisticRegression(
         featuresCol="features", labelCol="y", weightCol="w", standardization=False, tol=1e-10
     ).fit(rows)
+    path = scratch_path(df.sparkSession, "sigmoid")
+    model.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def fit_calibrator(df: DataFrame, score: str, label: str, method: str = "isotonic") -> Model:

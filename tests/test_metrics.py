@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from loanlark import settings as S
@@ -305,6 +306,14 @@ def test_sigmoid_calibration_fits_smoothed_targets(spark, scored, sample):
         assert r["probability"] == pytest.approx(1 / (1 + math.exp(-(a * r["p"] + b))), abs=1e-5)
 
 
+def test_sigmoid_calibration_after_an_observation(spark, scored):
+    seen = Observation()
+    scored.observe(seen, F.count("*").alias("n")).count()
+    assert seen.get["n"] == scored.count()
+    got = learner.calibrated(learner.fit_sigmoid(scored, "p", "y"), scored, "p")
+    assert got.filter(F.col("probability").between(0, 1)).count() == scored.count()
+
+
 def test_isotonic_calibration_is_monotone_and_clipped(spark, scored):
     model = learner.fit_isotonic(scored, "p", "y")
     rows = learner.calibrated(model, scored, "p").select("p", "probability").orderBy("p").collect()

@@ -19,8 +19,12 @@ def squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Distances by differences, one centre at a time."""
+    """Distances by differences, one centre at a time, or one point where those are fewer."""
     out = np.empty((len(points), len(centres)))
+    if len(points) < len(centres):
+        for i, p in enumerate(points):
+            out[i] = np.sqrt(((p - centres) ** 2).sum(axis=1))
+        return out
     for i, c in enumerate(centres):
         out[:, i] = np.sqrt(((points - c) ** 2).sum(axis=1))
     return out

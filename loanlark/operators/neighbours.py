@@ -14,7 +14,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,40 +29,54 @@ SAMPLE_PER_LEAF = 16
 TREE_BYTES = 64 << 20
 BLOCK_ROWS = 4_096
 QUERIES_AT_ONCE = 256
+#: Bytes that a step of a task holds of any matrix or of rows to be sent on.
+BATCH_BYTES = 8 << 20
+NEAREST = pa.schema([("id", pa.int64()), ("neighbour", pa.int64()), ("distance", pa.float64())])
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().to_numpy(zero_copy_only=False)
 
 
 def _points(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _least(ids: np.ndarray, points: np.ndarray, qs: np.ndarray, far: np.ndarray, slack: np.ndarray, k: int) -> tuple:
+    """(query, point, distance) of the k nearest points of each query that lie within ``far``."""
+    rough = squared(qs, points)
+    # the product form rounds; whatever could still be among the k is measured exactly
+    limit = far**2 + slack
+    many = np.flatnonzero((rough <= limit[:, None]).sum(axis=1) > k)
+    if len(many):
+        limit[many] = np.minimum(limit[many], np.partition(rough[many], k - 1, axis=1)[:, k - 1] + slack[many])
+    row, at = np.nonzero(rough <= limit[:, None])
+    exact = np.empty(len(row))
+    step = max(1, BATCH_BYTES // (8 * qs.shape[1]))
+    for i in range(0, len(row), step):
+        part = slice(i, i + step)
+        exact[part] = np.sqrt(((points[at[part]] - qs[row[part]]) ** 2).sum(axis=1))
+    order = np.lexsort((ids[at], exact, row))
+    row, at, exact = row[order], at[order], exact[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[best], at[best], exact[best]
+
+
 def _block_nearest(k: int):
-    def nearest(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": [], "neighbour": [], "distance": []})
-        if queries.empty or candidates.empty:
-            return empty.astype({"id": "int64", "neighbour": "int64", "distance": "float64"})
-        ids = candidates["id"].to_numpy(np.int64)
-        points = _matrix(candidates["vec"])
-        norms = (points**2).sum(axis=1)
-        out = []
-        for start in range(0, len(queries), QUERIES_AT_ONCE):
-            part = queries.iloc[start : start + QUERIES_AT_ONCE]
-            qs, qids = _matrix(part["vec"]), part["id"].to_numpy(np.int64)
-            far = part["far"].to_numpy(np.float64)
-            rough = squared(qs, points)
-            keep = min(k, len(ids)) - 1
-            # the product form rounds; whatever could still be among the k is measured exactly
-            slack = 1e-9 * ((qs**2).sum(axis=1) + norms.max())
-            limit = np.minimum(np.partition(rough, keep, axis=1)[:, keep], far**2) + slack
-            for i, qid in enumerate(qids):
-                picked = np.flatnonzero(rough[i] <= limit[i])
-                exact = np.sqrt(((points[picked] - qs[i]) ** 2).sum(axis=1))
-                best = np.lexsort((ids[picked], exact))[:k]
-                out.append(pd.DataFrame({"id": qid, "neighbour": ids[picked][best], "distance": exact[best]}))
-        return pd.concat(out)
+    def nearest(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        found = []
+        if queries.num_rows and candidates.num_rows:
+            ids, points = _numbers(candidates["id"]).astype(np.int64), _points(candidates["vec"].combine_chunks())
+            qids, vectors = _numbers(queries["id"]).astype(np.int64), _points(queries["vec"].combine_chunks())
+            far = _numbers(queries["far"])
+            heaviest = (points**2).sum(axis=1).max()
+            for start in range(0, len(qids), QUERIES_AT_ONCE):
+                part = slice(start, start + QUERIES_AT_ONCE)
+                slack = 1e-9 * ((vectors[part] ** 2).sum(axis=1) + heaviest)
+                row, at, exact = _least(ids, points, vectors[part], far[part], slack, k)
+                found.append((qids[part][row], ids[at], exact))
+        columns = [np.concatenate(c) for c in zip(*found)] or [np.empty(0)] * 3
+        return pa.table(dict(zip(NEAREST.names, columns)), schema=NEAREST)
 
     return nearest
 
@@ -84,6 +97,8 @@ def nearest_neighbours(
         .filter(F.col("copy") <= k + 1)
         .drop("copy")
     )
+    # counted, sampled and placed: stored, so that copies are told apart once
+    offered = through_storage(offered, "offered")
     distinct = asked.groupBy("vec").agg(F.min("id").alias("id"))
     found = (
         # one more than wanted, as one of them may be the row itself
@@ -142,6 +157,26 @@ def leaf_table(rows: DataFrame, leaves: int) -> tuple[np.ndarray, np.ndarray]:
     return sizes, radii
 
 
+def _sent(batch: pa.RecordBatch, centres: np.ndarray, sizes: np.ndarray, radii: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    points, own = _points(batch.column("vec")), batch.column("leaf").to_numpy()
+    far = batch.column("far").to_numpy(zero_copy_only=False).copy()
+    between = distances(points, centres)
+    for i in np.flatnonzero(np.isinf(far)):
+        reach = between[i] + radii
+        order = np.argsort(reach)
+        enough = np.searchsorted(np.cumsum(sizes[order]), k)
+        if enough < len(order):
+            far[i] = reach[order[enough]] * (1 + 1e-9) + 1e-9
+    needed = (between - radii <= (far * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
+    needed[np.arange(len(own)), own] = False
+    row, leaf = np.nonzero(needed)
+    step = max(1, BATCH_BYTES // (8 * points.shape[1]))
+    for i in range(0, len(row), step):
+        take, to = row[i : i + step], leaf[i : i + step]
+        columns = [pa.array(to.astype(np.int32)), batch.column("id").take(pa.array(take)), batch.column("vec").take(pa.array(take)), pa.array(far[take])]
+        yield pa.RecordBatch.from_arrays(columns, names=["leaf", "id", "vec", "far"])
+
+
 def sent_on(asked: DataFrame, tree: BallTree, sizes: np.ndarray, radii: np.ndarray, k: int) -> DataFrame:
     """(leaf, id, vec, far): the queries (leaf, id, vec, far) once for each other leaf whose ball
     comes as near as ``far``, the k-th distance known; where that is infinite, the leaves' sizes
@@ -150,24 +185,11 @@ def sent_on(asked: DataFrame, tree: BallTree, sizes: np.ndarray, radii: np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, sizes, radii = ship.value
+        rows = max(1, BATCH_BYTES // (8 * len(centres)))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            points, own = _points(batch.column("vec")), batch.column("leaf").to_numpy()
-            far = batch.column("far").to_numpy(zero_copy_only=False).copy()
-            between = distances(points, centres)
-            for i in np.flatnonzero(np.isinf(far)):
-                reach = between[i] + radii
-                order = np.argsort(reach)
-                enough = np.searchsorted(np.cumsum(sizes[order]), k)
-                if enough < len(order):
-                    far[i] = reach[order[enough]] * (1 + 1e-9) + 1e-9
-            needed = (between - radii <= (far * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
-            needed[np.arange(len(own)), own] = False
-            row, leaf = np.nonzero(needed)
-            take = pa.array(row)
-            columns = [pa.array(leaf.astype(np.int32)), batch.column("id").take(take), batch.column("vec").take(take), pa.array(far[row])]
-            yield pa.RecordBatch.from_arrays(columns, names=["leaf", "id", "vec", "far"])
+            # a query may go to every leaf: neither its distances nor its copies are held all at once
+            for start in range(0, batch.num_rows, rows):
+                yield from _sent(batch.slice(start, rows), centres, sizes, radii, k)
 
     return asked.select("leaf", "id", "vec", "far").mapInArrow(run, "leaf int, id long, vec array<double>, far double")
 
@@ -186,7 +208,7 @@ def _compared(asked: DataFrame, offered: DataFrame, asked_sizes: dict[int, int],
         "leaf", "id", "vec", F.pmod(own, F.col("cs")).cast("int").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"),
     )
     keys = ["leaf", "qb", "cb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_nearest(k), "id long, neighbour long, distance double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_nearest(k), "id long, neighbour long, distance double")
 
 
 def _nearest_to_vectors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Neighbours and synthetic rows against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loanlark.operators import neighbours, resampling
@@ -169,3 +170,31 @@ def test_adasyn_searches_twice(spark, monkeypatch):
     rows = [(i, int(i % 9 == 0), draw.normal(size=3).tolist()) for i in range(300)]
     made = resampling.adasyn(spark.createDataFrame(rows, "id long, y int, vec array<double>"), "y", "id", "vec")
     assert made.count() > 0 and len(calls) == 2
+
+
+def test_queries_are_sent_on_in_bounded_parts(spark):
+    """A query that no leaf can be ruled out for goes to all of them, in batches of some MB."""
+
+    class Rows:
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    draw = np.random.default_rng(6)
+    points, centres = draw.normal(size=(2000, 64)), draw.normal(size=(100, 64))
+    tree = neighbours.BallTree(centres[:1], 1, 1)
+    tree.centres = centres
+    run = neighbours.sent_on(Rows(), tree, np.full(100, 50), np.full(100, 99.0), 5)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(2000, np.int32)), pa.array(np.arange(2000)), pa.array(points.tolist()), pa.array(np.full(2000, 9.0))],
+        names=["leaf", "id", "vec", "far"],
+    )
+    made = list(run(iter([batch])))
+    assert max(b.nbytes for b in made) < 16 << 20
+    pairs = {(i, leaf) for b in made for i, leaf in zip(b["id"].to_pylist(), b["leaf"].to_pylist())}
+    assert pairs == {(i, leaf) for i in range(2000) for leaf in range(1, 100)} and sum(b.num_rows for b in made) == len(pairs)
+    assert all(v == points[i].tolist() for b in made[:1] for i, v in zip(b["id"].to_pylist()[:50], b["vec"].to_pylist()[:50]))

@@ -25,8 +25,9 @@ def permutation_importance(
     """(feature, importance, gain): AUC drop per feature and the trees' own gain share.
 
     All rows are scored, or a sample of ``rows`` of them where that is asked for. All
-    features are scored in one job: the rows once per feature with that feature shuffled, and
-    once unchanged. Rows are paired with their donors by two ranks of hashes of the id.
+    features that a tree splits on are scored in one job: the rows once per feature with that
+    feature shuffled, and once unchanged. Shuffling any other feature leaves every score as it is,
+    so it loses nothing. Rows are paired with their donors by two ranks of hashes of the id.
     """
     given = (
         df.select(
@@ -41,22 +42,19 @@ def permutation_importance(
     one = F.lit("all")
     placed = O.ranks_by_key(given, one, "k1", "place")
     donors = O.ranks_by_key(given, one, "k2", "place").select("place", F.col("x").alias("shuffled"))
-    variants = F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1)))
+    weights = model.featureImportances
+    variants = F.explode(F.array(*[F.lit(int(i)) for i in (-1, *weights.indices)]))
+    # a row's variants are made from it, so its size says little about the work: all partitions are kept
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.greatest("variant", F.lit(0))
+    shuffled = F.concat(
+        F.slice("x", F.lit(1), at), F.slice("shuffled", at + 1, F.lit(1)), F.slice("x", at + 2, F.lit(len(features)))
+    )
     changed = (
         placed.join(donors, "place")
-        .repartition("place")
+        .repartition(partitions, "place")
         .withColumn("variant", variants)
-        .withColumn(
-            "x",
-            F.zip_with(
-                F.zip_with(
-                    "x", "shuffled", lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-                ),
-                F.sequence(F.lit(0), F.lit(len(features) - 1)),
-                lambda pair, i: F.when(i == F.col("variant"), pair["b"]).otherwise(pair["a"]),
-            ),
-        )
-        .select("variant", "y", "x")
+        .select("variant", "y", F.when(F.col("variant") < 0, F.col("x")).otherwise(shuffled).alias("x"))
     )
     scored = learner.raw_scores(model, changed, name="p").select("variant", "y", "p")
     # scores lie in [0, 1]: their ranges need no quantiles, and equal scores are one row
@@ -72,18 +70,18 @@ def permutation_importance(
         ).alias("auc")
     )
     base = auc.filter("variant = -1").select(F.col("auc").alias("base"), F.lit(1).alias("k"))
-    gains = [float(g) for g in model.featureImportances.toArray()]
+    gains = [float(g) for g in weights.toArray()]
     names = F.array(*[F.lit(f) for f in features])
     gain = F.array(*[F.lit(g) for g in gains])
     place = (F.col("variant") + 1).cast("int")
-    # one row
+    every = df.sparkSession.range(len(features)).select(F.col("id").cast("int").alias("variant"), F.lit(1).alias("k"))
+    # one row, and one a feature
     return (
-        auc.filter("variant >= 0")
-        .withColumn("k", F.lit(1))
-        .join(F.broadcast(base), "k")
+        every.join(F.broadcast(base), "k")
+        .join(F.broadcast(auc), "variant", "left")
         .select(
             F.element_at(names, place).alias("feature"),
-            F.round(F.col("base") - F.col("auc"), 6).alias("importance"),
+            F.round(F.col("base") - F.coalesce("auc", "base"), 6).alias("importance"),
             F.round(F.element_at(gain, place), 6).alias("gain"),
         )
         .orderBy(F.desc("importance"), F.desc("gain"), "feature")

@@ -8,7 +8,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import functions as F
 
 from loanlark import settings as S
-from loanlark.operators import encoding, learner
+from loanlark.operators import encoding, importance, learner
 from loanlark.plans import training
 
 
@@ -105,3 +105,32 @@ def test_training_searches_in_both_orders(spark, clean):
     assert made.validation.filter("probability between 0 and 1").count() == made.validation.count()
     defaults = training.TrainingOptions()
     assert (defaults.trials, defaults.folds, defaults.patience, defaults.ranges) == (50, 5, 50, S.SEARCH_RANGES)
+
+
+def test_importance_scores_only_what_trees_split_on(spark, monkeypatch):
+    """Every feature gets its row; one that no tree reads loses nothing and is not scored."""
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(200, 12))
+    y = (x[:, 3] > 0.4).astype(int)
+    names = [f"f{i}" for i in range(12)]
+    df = spark.createDataFrame([(i, int(t), *v.tolist()) for i, (t, v) in enumerate(zip(y, x))], ", ".join([f"{S.ID} long, {S.TARGET} int", *[f"{c} double" for c in names]]))
+    model = learner.fit_trees(learner.as_array(df, names), params={"n_estimators": 2, "max_depth": 1})
+    used = [int(i) for i in model.featureImportances.indices]
+    assert 3 in used and len(used) <= 2
+    scored, raw = [], learner.raw_scores
+    monkeypatch.setattr(learner, "raw_scores", lambda m, rows, **k: scored.append(rows.count()) or raw(m, rows, **k))
+    got = {r.feature: r for r in importance.permutation_importance(model, df, names).collect()}
+    assert scored == [200 * (1 + len(used))]
+    assert set(got) == set(names) and all(got[f"f{i}"].importance == got[f"f{i}"].gain == 0 for i in range(12) if i not in used)
+    # against scores of the rows with the one column exchanged
+    k1, k2 = ([r.v for r in df.orderBy(S.ID).select(F.xxhash64(F.col(S.ID).cast("long"), F.lit(S.SEED + s)).alias("v")).collect()] for s in (0, 1))
+    changed = x.copy()
+    changed[np.argsort(k1), 3] = x[np.argsort(k2), 3]
+
+    def auc(points) -> float:
+        rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "i long, x array<double>")
+        p = np.array([r.raw_probability for r in raw(model, rows).orderBy("i").collect()])
+        gaps = p[y == 1][:, None] - p[y == 0][None, :]
+        return float((gaps > 0).mean() + (gaps == 0).mean() / 2)
+
+    assert got["f3"].importance == pytest.approx(auc(x) - auc(changed), abs=1e-6)

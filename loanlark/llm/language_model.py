@@ -31,6 +31,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,38 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+@dataclass
+class Tokens:
+    """The tokens of some texts in a row: how many each text has, the different ones, and of
+    every token its place among these."""
+
+    sizes: np.ndarray
+    distinct: list[bytes]
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Tokens:
+        """``words_of`` of a column of texts."""
+        # built anew: small letters of a slice that was cast were seen to be those of other rows;
+        # a line end after each text leaves an empty token at its end, which is the end token
+        line_end, nothing = (pa.scalar(x, pa.large_string()) for x in ("\n", ""))
+        ended = pc.binary_join_element_wise(pc.ascii_lower(pa.array([t or "" for t in texts.to_pylist()], pa.large_string())), line_end, nothing)
+        split = pc.ascii_split_whitespace(ended)
+        every, stops = split.values, split.offsets.to_numpy()[1:]
+        real = pc.not_equal(every, nothing).to_numpy(zero_copy_only=False)
+        real[stops - 1] = True
+        ends = np.cumsum(real)[stops - 1]
+        coded = every.filter(pa.array(real)).cast(pa.large_binary()).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return cls(np.diff(ends, prepend=0), distinct, coded.indices.to_numpy())
+
+    @classmethod
+    def given(cls, words: list[list[bytes]]) -> Tokens:
+        places: dict[bytes, int] = {}
+        place = [places.setdefault(w, len(places)) for w in chain.from_iterable(words)]
+        return cls(np.array([len(w) for w in words]), list(places), np.array(place, np.int64))
+
+
 def counted(texts: DataFrame) -> DataFrame:
     """Counts of all tokens of a column ``t``: summed by task, then by word."""
 
@@ -68,8 +101,9 @@ def counted(texts: DataFrame) -> DataFrame:
         found: Counter = Counter()
         rows = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                found.update(words_of(text))
+            tokens = Tokens.of(batch.column(0))
+            for word, n in zip(tokens.distinct, np.bincount(tokens.place).tolist()):
+                found[word] += n
             if len(found) > MEMO_WORDS:
                 yield rows()
                 found.clear()
@@ -148,23 +182,34 @@ class Coder:
 
     def events(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all tokens in a row, and their feature rows (tokens, 3)."""
+        return next(self.portions(Tokens.given(words), 1 << 62))[2:]
+
+    def codes(self, words: list[bytes]) -> np.ndarray:
         memo = self.memo
-        new = set().union(*words).difference(memo)
+        new = [w for w in words if w not in memo]
         if len(memo) + len(new) > MEMO_WORDS:
             memo.clear()
-            new = set().union(*words)
+            new = words
         memo.update((w, self._code(w)) for w in new)
-        code = np.fromiter(map(memo.__getitem__, chain.from_iterable(words)), np.uint64, sum(map(len, words)))
-        own = (code & np.uint64(63)).astype(np.int64)
-        word = _mix(code >> np.uint64(6))
-        starts = np.cumsum([0, *map(len, words)])[:-1]
+        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+
+    def portions(self, tokens: Tokens, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ranges of texts of about ``limit`` tokens, with their events."""
+        codes = self.codes(tokens.distinct)
+        classes, hashes = (codes & np.uint64(63)).astype(np.int64), _mix(codes >> np.uint64(6))
+        ends = np.append(0, np.cumsum(tokens.sizes))
+        for begin, end in in_portions(tokens.sizes.tolist(), limit):
+            place = tokens.place[ends[begin] : ends[end]]
+            yield begin, end, classes[place], self._rows(hashes[place], ends[begin:end] - ends[begin])
+
+    def _rows(self, word: np.ndarray, starts: np.ndarray) -> np.ndarray:
         one, two = np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
         one[1:] = word[:-1]
         one[starts] = 1
         two[1:] = one[:-1]
         two[starts] = 2
         rows = np.stack([_mix(one + np.uint64(11)), _mix(two + np.uint64(22)), _mix(one * np.uint64(3) + two * np.uint64(5) + np.uint64(33))])
-        return own, (rows >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+        return (rows >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
 def _shares(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -206,9 +251,7 @@ def _gradient(shipped) -> object:
         # by class, and last how often each row occurs; the last block of rows is the bias
         sums = np.zeros((CLASSES + 1, size + BLOCK))
         for batch in slices(batches):
-            words = [words_of(t) for t in batch.column(0).to_pylist()]
-            for begin, end in in_portions([len(w) for w in words], GRADIENT_TOKENS):
-                own, rows = coder.events(words[begin:end])
+            for _, _, own, rows in coder.portions(Tokens.of(batch.column(0)), GRADIENT_TOKENS):
                 for at in range(0, len(own), GRADIENT_TOKENS):
                     _add(sums, weights, bias, own[at : at + GRADIENT_TOKENS], rows[:, at : at + GRADIENT_TOKENS])
         total = sums.T.astype(np.float32)
@@ -266,26 +309,28 @@ def score(docs: DataFrame, words: Words, model: tuple[np.ndarray, np.ndarray], k
             in_class = np.log10(1 - unseen) - np.log10(np.maximum(tokens, 1))
         in_class[: len(single)] = -np.log10(np.maximum(tokens[: len(single)], 1))
         for batch in slices(batches):
-            every = [words_of(t) for t in batch.column(1).to_pylist()]
-            for begin, end in in_portions([len(w) for w in every], 16 * TOKENS_AT_ONCE):
-                part = every[begin:end]
-                sizes = np.array([len(w) for w in part])
-                own, rows = coder.events(part)
+            every = Tokens.of(batch.column(1))
+            counts = np.fromiter(map(head.get, every.distinct, repeat(0)), np.int64, len(every.distinct))
+            first = 0
+            for begin, end, own, rows in coder.portions(every, 16 * TOKENS_AT_ONCE):
+                sizes, place = every.sizes[begin:end], every.place[first : first + len(own)]
+                first += len(own)
                 log = np.empty(len(own))
                 for at in range(0, len(own), TOKENS_AT_ONCE):
                     o = own[at : at + TOKENS_AT_ONCE]
                     p = _shares(weights, bias, rows[:, at : at + TOKENS_AT_ONCE])
                     log[at : at + len(o)] = np.log10(np.maximum(p[np.arange(len(o)), o], 1e-30))
-                count = np.fromiter(map(head.get, chain.from_iterable(part), repeat(0)), np.int64, len(own))
+                count = counts[place]
                 known = count > 0
                 with np.errstate(divide="ignore"):
                     log += np.where(known, np.log10(np.maximum(count, 1)) + in_class[own], 0.0)
                 base = np.where(known, np.log10(count + 1.0) - whole, 0.0)
                 starts = np.cumsum(sizes) - sizes
                 rest = []
-                for w, a, n in zip(part, starts.tolist(), sizes.tolist()):
-                    at = np.flatnonzero(~known[a : a + n])
-                    rest.append([{"word": x, "class": int(c), "n": k} for (x, c), k in Counter((w[i], own[a + i]) for i in at.tolist()).items()])
+                for a, n in zip(starts.tolist(), sizes.tolist()):
+                    at = a + np.flatnonzero(~known[a : a + n])
+                    found = Counter(zip(place[at].tolist(), own[at].tolist()))
+                    rest.append([{"word": every.distinct[x], "class": c, "n": k} for (x, c), k in found.items()])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(begin, end - begin), pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),

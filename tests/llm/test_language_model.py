@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from loanlark.llm import language_model
 from loanlark.llm.queries import op6_language_model
@@ -76,3 +77,33 @@ def test_outcomes_sum_to_one(spark):
     total = sum(10 ** (scored[w] - prefix - ends[w]) for w, _ in rows[:-1]) + 10 ** (scored[""] - prefix)
     assert abs(total - 1) < 1e-4
     assert np.isfinite(list(scored.values())).all()
+
+
+def test_tokens_of_a_column_are_those_of_its_texts():
+    rng = random.Random(6)
+    parts = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "　", "A", "b", "É", "İ", "K", "中", "\0", "Z"]
+    texts = [None if rng.random() < 0.1 else "".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(500)]
+    for begin, end in ((0, 500), (100, 140), (499, 500), (7, 7)):
+        made = language_model.Tokens.of(pa.array(texts).slice(begin, end - begin))
+        want = [tokens(t) for t in texts[begin:end]]
+        assert made.sizes.tolist() == [len(w) for w in want]
+        assert [made.distinct[p] for p in made.place] == [w for words in want for w in words]
+        assert len(set(made.distinct)) == len(made.distinct)
+
+
+def test_each_different_word_of_a_batch_is_looked_up_once():
+    class Seen(dict):
+        def __contains__(self, word):
+            asked.append(word)
+            return super().__contains__(word)
+
+    asked = []
+    coder = language_model.Coder({b"a": 0})
+    coder.memo = Seen()
+    words = language_model.Tokens.of(pa.array(["a b a b c", "C a"] * 50))
+    portions = list(coder.portions(words, 20))
+    assert sorted(asked) == [b"", b"a", b"b", b"c"] and len(portions) > 5
+    plain = language_model.Coder({b"a": 0})
+    for begin, end, own, rows in portions:
+        want = plain.events([tokens(t) for t in (["a b a b c", "C a"] * 50)[begin:end]])
+        assert (own == want[0]).all() and (rows == want[1]).all()
